@@ -22,6 +22,15 @@ def rounded_mean(total: Column, n: Column, scale: int) -> Column:
     return (signed.cast(T.DecimalType(20, 0)) / F.lit(10**scale)).cast(T.DecimalType(20, scale))
 
 
+def round_binary(value: Column, digits: int) -> Column:
+    """A double rounded by its true binary value, half to even.
+
+    `bround` rounds the shortest decimal text of a double instead, so that 83.335, which is
+    stored a little below that, would go up.
+    """
+    return F.regexp_replace(F.format_number(value, digits), ",", "").cast("double")
+
+
 def percent(part: Column, n: Column) -> Column:
-    """100 * part / n, rounded half to even at two digits."""
-    return F.bround(F.lit(100.0) * part / n, 2)
+    """100 * part / n with two digits."""
+    return round_binary(part / n * 100, 2)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,45 +47,69 @@ def exact_quantiles(hist: DataFrame, column: str, probs: list[float]) -> list[fl
     whole = (F.col(column) * F.lit(10**scale).cast(T.DecimalType(scale + 1, 0))).cast("long")
     values = hist.where(F.col(column).isNotNull()).select(whole.alias("_v"), "_rows")
 
-    total = values.agg(F.sum("_rows")).first()[0]
-    if not total:
+    total, found = _first_digit(values, probs, (rounds - 1) * DIGIT_BITS)
+    if total == 0:
         return None
-    places = [p * (total - 1) for p in probs]
-    ranks = sorted({r for p in places for r in (math.floor(p), math.ceil(p))})
-
-    # rank -> (bits found so far, rank inside that bucket)
-    found: dict[int, tuple[int | None, int]] = {r: (None, r) for r in ranks}
-    for level in reversed(range(rounds)):
-        found = _next_digit(values, found, level * DIGIT_BITS, first=level == rounds - 1)
-    at = {r: prefix / 10**scale for r, (prefix, _) in found.items()}
-    return [
-        at[math.floor(p)] + (at[math.ceil(p)] - at[math.floor(p)]) * (p - math.floor(p)) for p in places
-    ]
-
-
-def _next_digit(values: DataFrame, found: dict, shift: int, first: bool) -> dict:
-    bits = F.shiftright("_v", shift)
-    if first:
-        prefix: Column = F.lit(0).cast("long")
-        digit = bits
-        kept = values
-    else:
-        prefix = F.shiftright("_v", shift + DIGIT_BITS)
-        digit = bits.bitwiseAND(F.lit((1 << DIGIT_BITS) - 1).cast("long"))
-        kept = values.where(prefix.isin(sorted({p for p, _ in found.values()})))
-    counts = kept.groupBy(prefix.alias("_prefix"), digit.alias("_digit")).agg(F.sum("_rows").alias("_n"))
-    ranked = _ranked_buckets(counts)
+    for level in reversed(range(rounds - 1)):
+        found = _next_digit(values, found, level * DIGIT_BITS)
+    at = {rank: prefix / 10**scale for rank, (prefix, _) in found.items()}
+    quantiles = []
+    for place in (p * (total - 1) for p in probs):
+        low, high = at[math.floor(place)], at[math.ceil(place)]
+        quantiles.append(low + (high - low) * (place - math.floor(place)))
+    return quantiles
+
+
+# Searched ranks map to (bits found so far, rank inside that bucket).
+Found = dict[int, tuple[int, int]]
+
+
+def _first_digit(values: DataFrame, probs: list[float], shift: int) -> tuple[int, Found]:
+    """Number of rows, and the leading bits of each searched rank."""
+    counts = values.groupBy(F.lit(0).alias("_prefix"), F.shiftright("_v", shift).alias("_digit")).agg(
+        F.sum("_rows").alias("_n")
+    )
+    total = F.sum("_n").over(Window.partitionBy("_prefix"))
+    ranked = _ranked_buckets(counts).withColumn("_total", total)
+    hit = F.lit(False)
+    for p in probs:
+        place = F.lit(p) * (F.col("_total") - 1)
+        for rank in (F.floor(place), F.ceil(place)):
+            hit = hit | ((F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank))
+    buckets = ranked.where(hit).collect()  # at most two buckets per quantile
+    if not buckets:
+        return 0, {}
+    total_rows = buckets[0]["_total"]
+    places = [p * (total_rows - 1) for p in probs]
+    ranks = {r for place in places for r in (math.floor(place), math.ceil(place))}
+    return total_rows, {rank: _locate(buckets, rank) for rank in ranks}
+
+
+def _next_digit(values: DataFrame, found: Found, shift: int) -> Found:
+    """The next 16 bits of each searched rank, counted inside the buckets found so far."""
+    prefix = F.shiftright("_v", shift + DIGIT_BITS)
+    digit = F.shiftright("_v", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1).cast("long"))
+    counts = (
+        values.where(prefix.isin(sorted({p for p, _ in found.values()})))
+        .groupBy(prefix.alias("_prefix"), digit.alias("_digit"))
+        .agg(F.sum("_rows").alias("_n"))
+    )
     hit = F.lit(False)
     for known, rank in set(found.values()):
         inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-        hit = hit | (inside if first else inside & (F.col("_prefix") == known))
-    buckets = ranked.where(hit).collect()  # at most one bucket per rank
+        hit = hit | (inside & (F.col("_prefix") == known))
+    buckets = _ranked_buckets(counts).where(hit).collect()  # at most one bucket per rank
     result = {}
     for wanted, (known, rank) in found.items():
-        row = next(
-            b for b in buckets
-            if (first or b["_prefix"] == known) and b["_upto"] - b["_n"] <= rank < b["_upto"]
-        )
-        bits_so_far = row["_digit"] if first else (known << DIGIT_BITS) | row["_digit"]
-        result[wanted] = (bits_so_far, rank - (row["_upto"] - row["_n"]))
+        bits, left = _locate([b for b in buckets if b["_prefix"] == known], rank)
+        result[wanted] = ((known << DIGIT_BITS) | bits, left)
     return result
+
+
+def _locate(buckets: list, rank: int) -> tuple[int, int]:
+    """The bucket that holds a rank, and the rank inside it."""
+    for b in buckets:
+        before = b["_upto"] - b["_n"]
+        if before <= rank < b["_upto"]:
+            return b["_digit"], rank - before
+    raise LookupError(f"rank {rank} is in none of the buckets")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from salesflow.functions.parsing import nan_to_null, quoted
 from salesflow.functions.quantiles import exact_quantiles, histogram
-from salesflow.session import sized
+from salesflow.session import checkpointed, sized
 
 QUARTILES = [0.25, 0.75]
 
@@ -83,15 +83,19 @@ def clean_sales(df: DataFrame, distinct: bool = True, k: float = 3.0) -> DataFra
     """Cleaning before the KPIs: complete, distinct, non-negative, units and then sales inside the fences.
 
     Facts that carry an identity are distinct already (`distinct=False`), which saves the
-    shuffle of whole rows.
+    shuffle of whole rows. After a shuffle the rows are checkpointed, as the fences and the
+    result both read them.
     """
     rows = drop_incomplete(nan_to_null(df), ["units_sold", "total_sales", "region"])
     rows = non_negative(rows, ["units_sold", "total_sales"])
-    return iqr_filter(dedupe(rows) if distinct else rows, ["units_sold", "total_sales"], k)
+    return iqr_filter(checkpointed(dedupe(rows)) if distinct else rows, ["units_sold", "total_sales"], k)
 
 
-def clean_file(df: DataFrame, exact: bool = False, k: float = 1.5) -> DataFrame:
-    """Cleaning of a sales file by its role columns `region`, `units` and `sales`."""
-    rows = drop_incomplete(nan_to_null(df), ["sales", "region", "units"])
-    rows = dedupe(non_negative(rows, ["sales", "units"]))
-    return iqr_filter(rows, ["sales"], k) if exact else iqr_filter_approx(rows, "sales", k)
+def clean_facts(fact: DataFrame, k: float = 3.0) -> DataFrame:
+    """The same cleaning on star facts, before any name is joined.
+
+    A fact refers to existing members or to none, so the inner star join keeps just those
+    with a region and a product.
+    """
+    rows = drop_incomplete(fact, ["units_sold", "total_sales", "region_id", "produit_id"])
+    return iqr_filter(non_negative(rows, ["units_sold", "total_sales"]), ["units_sold", "total_sales"], k)

@@ -94,8 +94,9 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
 def _fit_region(forest, summed: DataFrame, future: DataFrame, region: str) -> tuple[DataFrame, DataFrame]:
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_x")
     own = assembler.transform(summed.where(F.col("region") == region))
-    # One region is at most months * weekdays * shards rows, so a single partition holds it.
-    model = forest.fit(own.where("is_train").coalesce(1))
+    # One region is at most months * weekdays * shards rows, so a single partition holds it;
+    # in a fixed order the bootstrap draws the same rows in every run.
+    model = forest.fit(own.where("is_train").coalesce(1).sortWithinPartitions(*FEATURES, "shard"))
     ahead = assembler.transform(future.where(F.col("region") == region))
     return model.transform(own.where("not is_train")), model.transform(ahead)
 
@@ -104,7 +105,8 @@ def _fit_pooled(forest, summed: DataFrame, future: DataFrame) -> tuple[DataFrame
     indexer = StringIndexer(inputCol="region", outputCol="_region").fit(summed)
     assembler = VectorAssembler(inputCols=["_region", *FEATURES], outputCol="_x")
     ready = assembler.transform(indexer.transform(summed))
-    model = forest.fit(ready.where("is_train"))
+    ordered = ready.where("is_train").repartition("region").sortWithinPartitions("region", *FEATURES, "shard")
+    model = forest.fit(ordered)
     ahead = assembler.transform(indexer.transform(future))
     return model.transform(ready.where("not is_train")), model.transform(ahead)
 

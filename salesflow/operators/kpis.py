@@ -13,25 +13,54 @@ def filled_sum(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
-def kpi_monthly(df: DataFrame) -> DataFrame:
+KPI_KEYS = ["mois", "region", "product"]
+KPI_SUMS = ["total_sales", "operating_profit", "units_sold"]
+KPI_MEANS = ["price_per_unit", "operating_margin"]
+
+
+def partial_sums(df: DataFrame, keys: list[str | Column], sums: list[str], means: list[str] = ()) -> DataFrame:
+    """Rows, sums, and for the columns to be averaged sums and non-null counts, per key."""
+    return df.groupBy(*keys).agg(
+        F.count("*").alias("n_rows"),
+        *[F.sum(c).alias(c) for c in dict.fromkeys([*sums, *means])],
+        *[F.count(c).alias(f"n_{c}") for c in means],
+    )
+
+
+def monthly_sums(df: DataFrame, keys: list[str], sums: list[str], means: list[str] = ()) -> DataFrame:
+    """Partial sums per month and key; rows are grouped by date, the month text is made per group."""
+    month = F.trunc("date_vente", "month").alias("_month")
+    sums_by_month = partial_sums(df, [month, *keys], sums, means)
+    return sums_by_month.withColumn("mois", month_key(F.col("_month"))).drop("_month")
+
+
+def total_mean(column: str) -> Column:
+    """Mean of a column over partial sums."""
+    return mean(F.sum(column), F.sum(f"n_{column}"))
+
+
+def monthly_from_partials(partials: DataFrame) -> DataFrame:
     """Totals and means per month, region and product; rows without one of the keys are left out."""
-    keys = ["mois", "region", "product"]
     return (
-        df.withColumn("mois", month_key(F.col("date_vente")))
-        .dropna(subset=keys)
-        .groupBy(*keys)
+        partials.dropna(subset=KPI_KEYS)
+        .groupBy(*KPI_KEYS)
         .agg(
             filled_sum("total_sales").alias("ca_total"),
             filled_sum("operating_profit").alias("profit_total"),
             filled_sum("units_sold").alias("unites_total"),
-            mean(F.sum("price_per_unit"), F.count("price_per_unit")).alias("panier_moyen"),
-            mean(F.sum("operating_margin"), F.count("operating_margin")).alias("marge_moyenne"),
-            F.count("*").alias("nb_transactions"),
+            total_mean("price_per_unit").alias("panier_moyen"),
+            total_mean("operating_margin").alias("marge_moyenne"),
+            F.sum("n_rows").alias("nb_transactions"),
         )
         .withColumn("marge_pct", F.col("marge_moyenne") * 100)
     )
 
 
+def kpi_monthly(df: DataFrame) -> DataFrame:
+    """Monthly KPIs of flat records."""
+    return monthly_from_partials(monthly_sums(df, ["region", "product"], KPI_SUMS, KPI_MEANS))
+
+
 def _sales_stats(sales: str) -> dict[str, Column]:
     return {
         "total_sales": F.round(F.sum(sales), 2),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow import schema as S
-from salesflow.functions.exact import percent
+from salesflow.functions.exact import percent, round_binary
 from salesflow.functions.parsing import nan_to_null, quoted, to_number
 
 COPIES = "_copies"
@@ -57,7 +57,12 @@ def not_negative(column: str) -> Rule:
 
 def no_duplicates() -> Rule:
     """The first of equal rows is good, the others are not."""
-    return lambda schema: percent(F.count("*"), F.sum(COPIES))
+
+    def rule(schema: T.StructType) -> Column:
+        repeated = (F.sum(COPIES) - F.count("*")) / F.sum(COPIES)
+        return round_binary((1 - repeated) * 100, 2)
+
+    return rule
 
 
 RULES: dict[str, Rule] = {
@@ -98,7 +103,7 @@ def score_batches(
             *[scores[c] if c != "no_duplicate_rows" else narrowed for c in scores.columns]
         )
     total = sum((F.col(r) for r in rules), F.lit(0.0))
-    overall = F.bround(total / len(rules), 2)
+    overall = round_binary(total / len(rules), 2)
     status = F.when(F.col("dq_score") >= threshold, S.PASSED).otherwise(S.BLOCKED)
     return scores.withColumn("dq_score", overall).withColumn("status", status)
 
@@ -189,10 +194,10 @@ def profile(df: DataFrame) -> DataFrame:
 
 def null_rates(profiled: DataFrame) -> DataFrame:
     """Null percentage of each column, and whether it is too high."""
-    rate = F.col("nulls") * F.lit(100.0) / F.nullif(F.col("rows"), F.lit(0))
+    rate = F.col("nulls") / F.nullif(F.col("rows"), F.lit(0)) * 100
     return profiled.select("rows", F.explode("nulls").alias("column_name", "nulls")).select(
         "column_name",
-        F.bround(rate, 1).alias("null_rate"),
+        round_binary(rate, 1).alias("null_rate"),
         F.coalesce(rate > MAX_NULL_PERCENT, F.lit(False)).alias("too_high"),
     )
 
@@ -205,13 +210,13 @@ def negative_columns(profiled: DataFrame) -> DataFrame:
 def dataset_checks(profiled: DataFrame) -> DataFrame:
     """One row whose `checks` lists the five checks as (name, passed, detail)."""
     duplicates = F.col("rows") - F.col("distinct_rows")
-    share = lambda n: n * F.lit(100.0) / F.nullif(F.col("rows"), F.lit(0))
+    share = lambda n: n / F.nullif(F.col("rows"), F.lit(0)) * 100
     sparse = F.map_filter("nulls", lambda _, n: F.coalesce(share(n) > MAX_NULL_PERCENT, F.lit(False)))
     sparse_text = F.concat_ws(
         ", ",
         F.transform(
             F.map_entries(sparse),
-            lambda e: F.concat(F.lit("'"), e["key"], F.lit("': "), F.bround(share(e["value"]), 1).cast("string")),
+            lambda e: F.concat(F.lit("'"), e["key"], F.lit("': "), round_binary(share(e["value"]), 1).cast("string")),
         ),
     )
     negative = F.map_filter("negatives", lambda _, n: n > 0)
@@ -250,5 +255,5 @@ def dataset_checks(profiled: DataFrame) -> DataFrame:
 def dataset_score(checked: DataFrame, threshold: float = S.DQ_THRESHOLD) -> DataFrame:
     """Score out of 100, the verdict, and the checks behind them."""
     passed = F.size(F.filter("checks", lambda c: c["passed"]))
-    score = F.bround(F.lit(100.0) * passed / F.size("checks"), 0).cast("int")
+    score = round_binary(passed / F.size("checks") * 100, 0).cast("int")
     return checked.select(score.alias("dq_score"), (score >= threshold).alias("passed"), F.col("checks").alias("details"))

@@ -10,36 +10,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.functions.exact import mean, rounded_mean
-from salesflow.functions.parsing import month_key
+from salesflow.operators.kpis import KPI_MEANS, KPI_SUMS, monthly_from_partials, monthly_sums, partial_sums, total_mean
 from salesflow.operators.star import Star
 
 
-def _month() -> Column:
-    return month_key(F.col("date_vente")).alias("mois")
-
-
 def _region() -> Column:
     return F.col("region_name").alias("region")
 
 
-def partial_sums(fact: DataFrame, keys: list[str | Column], sums: list[str], means: list[str] = ()) -> DataFrame:
-    """Sums, and non-null counts for the columns to be averaged, per key."""
-    return fact.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in dict.fromkeys([*sums, *means])],
-        *[F.count(c).alias(f"_n_{c}") for c in means],
-    )
-
-
-def _mean(column: str) -> Column:
-    return mean(F.sum(column), F.sum(f"_n_{column}"))
-
-
 def view_region_month(star: Star) -> DataFrame:
     """Units, sales, mean price, profit and margin per month, region, product and brand."""
-    sums = partial_sums(
-        star.fact, [_month(), "region_id", "produit_id"],
-        ["units_sold", "total_sales", "operating_profit"], ["price_per_unit", "operating_margin"],
-    )
+    sums = monthly_sums(star.fact, ["region_id", "produit_id"], KPI_SUMS, KPI_MEANS)
     return (
         sums.join(star.region, "region_id")
         .join(star.produit, "produit_id")
@@ -47,13 +28,20 @@ def view_region_month(star: Star) -> DataFrame:
         .agg(
             F.sum("units_sold").alias("total_unites"),
             F.sum("total_sales").alias("total_ca"),
-            _mean("price_per_unit").alias("prix_moyen"),
+            total_mean("price_per_unit").alias("prix_moyen"),
             F.sum("operating_profit").alias("total_profit"),
-            (_mean("operating_margin") * 100).alias("marge_pct"),
+            (total_mean("operating_margin") * 100).alias("marge_pct"),
         )
     )
 
 
+def monthly_kpis(star: Star, fact: DataFrame) -> DataFrame:
+    """Monthly KPIs of the given facts under their region and product names."""
+    partials = monthly_sums(fact, ["region_id", "produit_id"], KPI_SUMS, KPI_MEANS)
+    named = partials.join(star.region, "region_id").join(star.produit, "produit_id")
+    return monthly_from_partials(named.withColumns({"region": F.col("region_name"), "product": F.col("product_name")}))
+
+
 def view_global_kpis(fact: DataFrame) -> DataFrame:
     """One row over all facts; the totals are NULL over an empty table."""
     return fact.agg(
@@ -85,7 +73,7 @@ def sales_by_region(star: Star) -> DataFrame:
 
 def monthly_by_region(star: Star) -> DataFrame:
     return (
-        partial_sums(star.fact, [_month(), "region_id"], ["total_sales"])
+        monthly_sums(star.fact, ["region_id"], ["total_sales"])
         .join(star.region, "region_id")
         .groupBy("mois", _region())
         .agg(F.sum("total_sales").alias("ca"))
@@ -107,7 +95,7 @@ def top_products(star: Star, n: int = 10) -> DataFrame:
 
 def margin_by_region(star: Star) -> DataFrame:
     """Mean margin in percent with two digits per region."""
-    ratio = rounded_mean(F.sum("operating_margin"), F.sum("_n_operating_margin"), 4)
+    ratio = rounded_mean(F.sum("operating_margin"), F.sum("n_operating_margin"), 4)
     return (
         partial_sums(star.fact, ["region_id"], [], ["operating_margin"])
         .join(star.region, "region_id")
@@ -120,7 +108,7 @@ def margin_by_region(star: Star) -> DataFrame:
 def sales_by_month(star: Star) -> DataFrame:
     """Sales per month, straight from the facts whose region and product exist."""
     return (
-        partial_sums(star.fact, [_month(), "region_id", "produit_id"], ["total_sales"])
+        monthly_sums(star.fact, ["region_id", "produit_id"], ["total_sales"])
         .join(star.region.select("region_id"), "region_id", "left_semi")
         .join(star.produit.select("produit_id"), "produit_id", "left_semi")
         .groupBy("mois")

@@ -16,13 +16,18 @@ from salesflow.operators.forecast import forecast_sales
 from salesflow.operators.normalize import add_month, detect_roles
 from salesflow.operators.segments import segment_retailers
 from salesflow.operators.star import NATURAL_KEYS, Star, load_fact, members_of, star_join, upsert_dimension
+from salesflow.session import checkpointed
 from salesflow.sources.readers import read_table
 from salesflow.sources.sinks import drop_columns, export_table, replace_table, stamped
 
 
 def monthly_kpis(star: Star) -> DataFrame:
-    """Star join, cleaning, monthly KPIs. Facts are distinct by their identity, so no row is deduplicated."""
-    return K.kpi_monthly(C.clean_sales(star_join(star), distinct=False))
+    """Star join, cleaning and monthly KPIs.
+
+    Facts are distinct by their identity, so no row is deduplicated; they are cleaned and
+    summed by their ids, and only the sums are joined to the names.
+    """
+    return R.monthly_kpis(star, C.clean_facts(star.fact))
 
 
 @dataclass(frozen=True)
@@ -42,7 +47,7 @@ def file_tables(df: DataFrame, exact: bool = False) -> FileTables:
     typed = df.withColumns({c: P.to_number(P.quoted(c)) for c in (sales, units)})
     rows = C.drop_incomplete(P.nan_to_null(typed), [sales, region, units])
     rows = C.dedupe(C.non_negative(rows, [sales, units]))
-    kept = C.iqr_filter(rows, [sales], 1.5) if exact else C.iqr_filter_approx(rows, sales)
+    kept = C.iqr_filter(checkpointed(rows), [sales], 1.5) if exact else C.iqr_filter_approx(rows, sales)
     dated = add_month(kept, roles["date"])
     flat = dated.select(P.quoted(region).alias("region"), P.quoted(sales).alias("sales"), "mois")
     return FileTables(drop_columns(dated, "_date_parsed", "mois"), K.kpi_region_month(flat), K.kpi_trend(flat))

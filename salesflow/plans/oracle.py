@@ -95,25 +95,35 @@ PRODUCT_IDS = members(
 RETAILER_IDS = members("SELECT DISTINCT c_name AS name FROM customer", "name", "name")
 
 # ── scores ───────────────────────────────────────────────────────────────────
-RULES = """
-  round_even(100.0 * count(units_sold) / count(*), 2) AS no_null_units_sold,
-  round_even(100.0 * count(total_sales) / count(*), 2) AS no_null_total_sales,
-  round_even(100.0 * count(region) / count(*), 2) AS no_null_region,
-  round_even(100.0 * count(*) FILTER (WHERE coalesce(total_sales, 0) >= 0) / count(*), 2) AS positive_sales,
-  round_even(100.0 * count(*) FILTER (WHERE coalesce(units_sold, 0) >= 0) / count(*), 2) AS positive_units"""
+def rounded(value: str, digits: int = 2) -> str:
+    """Rounded by the true binary value, half to even."""
+    return f"cast(format('{{:.{digits}f}}', {value}) AS double)"
+
+
+def share(good: str) -> str:
+    return rounded(f"cast({good} AS double) / count(*) * 100")
+
+
+RULES = f"""
+  {share('count(units_sold)')} AS no_null_units_sold,
+  {share('count(total_sales)')} AS no_null_total_sales,
+  {share('count(region)')} AS no_null_region,
+  {share('count(*) FILTER (WHERE coalesce(total_sales, 0) >= 0)')} AS positive_sales,
+  {share('count(*) FILTER (WHERE coalesce(units_sold, 0) >= 0)')} AS positive_units"""
+OVERALL = rounded("(no_null_units_sold + no_null_total_sales + no_null_region + positive_sales + positive_units"
+                  " + no_duplicate_rows) / 6")
 
 
 def scores(source: str) -> str:
     return f"""
 rules AS (
-  SELECT a.*, round_even(100.0 * n_distinct / total_rows, 2) AS no_duplicate_rows
+  SELECT a.*, {rounded('(1 - cast(total_rows - n_distinct AS double) / total_rows) * 100')} AS no_duplicate_rows
   FROM (SELECT batch_no, count(*) AS total_rows, {RULES} FROM {source} GROUP BY batch_no) a
   JOIN (SELECT batch_no, count(*) AS n_distinct FROM (SELECT DISTINCT * FROM {source}) GROUP BY batch_no) d
     USING (batch_no)),
 scored AS (
   SELECT *, CASE WHEN dq_score >= 80 THEN 'PASSED' ELSE 'BLOCKED' END AS status FROM (
-    SELECT *, round_even((no_null_units_sold + no_null_total_sales + no_null_region + positive_sales
-                          + positive_units + no_duplicate_rows) / 6, 2) AS dq_score FROM rules))"""
+    SELECT *, {OVERALL} AS dq_score FROM rules))"""
 
 
 SCORED = f"WITH {DIRTY}, {scores('dirty')}"
@@ -146,9 +156,10 @@ FEED_COLUMNS = [c.strip() for c in f"{KEYS}, {TEXTS}".split(",")] + [
     "units_sold", "total_sales", "price_per_unit", "operating_profit", "operating_margin",
 ]
 GUARDED = ["units_sold", "total_sales"]
+NULL_SHARE = "cast(count(*) - count({c}) AS double) / count(*) * 100"
 NULL_RATES = "\nUNION ALL ".join(
-    f"SELECT '{c}' AS column_name, round_even((count(*) - count({c})) * 100.0 / count(*), 1) AS null_rate,"
-    f" (count(*) - count({c})) * 100.0 / count(*) > 30 AS too_high FROM dirty"
+    f"SELECT '{c}' AS column_name, {rounded(NULL_SHARE.format(c=c), 1)} AS null_rate,"
+    f" {NULL_SHARE.format(c=c)} > 30 AS too_high FROM dirty"
     for c in FEED_COLUMNS
 )
 NEGATIVES = "\nUNION ALL ".join(

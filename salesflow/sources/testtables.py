@@ -16,34 +16,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input with fewer splits than cores over all cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def sales_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clean sales records, one per line item, with exact decimal amounts."""
-    customers = (
-        table(spark, sf_dir, "customer")
+    """Clean sales records, one per line item, with exact decimal amounts.
+
+    Orders meet their customers first, so line items are shuffled once at most, by order.
+    """
+    buyers = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", F.col("c_name").alias("retailer"), F.col("r_name").alias("region"))
+        .select("o_orderkey", F.col("c_name").alias("retailer"), F.col("r_name").alias("region"))
+    )
+    products = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.col("p_name").alias("product"),
+        F.col("p_brand").alias("beverage_brand"),
+        F.col("p_retailprice").cast(S.PRICE).alias("price_per_unit"),
     )
     sales = F.col("l_extendedprice").cast(S.MONEY) * (1 - F.col("l_discount").cast("decimal(4,2)"))
     margin = F.col("l_discount").cast(S.MARGIN) + F.col("l_tax").cast(S.MARGIN)
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_shipdate").cast("date").alias("date_vente"),
+        F.col("l_quantity").cast(S.UNITS).alias("units_sold"),
+        sales.cast(S.MONEY).alias("total_sales"),
+        margin.cast(S.MARGIN).alias("operating_margin"),
+    )
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("total_sales", sales.cast(S.MONEY))
-        .withColumn("operating_margin", margin.cast(S.MARGIN))
+        lines.join(buyers, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(products, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             *FEED_KEYS,
             F.call_function("div", F.col("o_orderkey"), F.lit(ORDERS_PER_BATCH)).alias("batch_no"),
-            F.col("l_shipdate").cast("date").alias("date_vente"),
+            "date_vente",
             "region",
-            F.col("p_name").alias("product"),
-            F.col("p_brand").alias("beverage_brand"),
+            "product",
+            "beverage_brand",
             "retailer",
-            F.col("l_quantity").cast(S.UNITS).alias("units_sold"),
+            "units_sold",
             "total_sales",
-            F.col("p_retailprice").cast(S.PRICE).alias("price_per_unit"),
+            "price_per_unit",
             (F.col("total_sales") * F.col("operating_margin")).cast(S.MONEY).alias("operating_profit"),
             "operating_margin",
         )
