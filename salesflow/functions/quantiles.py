@@ -9,59 +9,84 @@ distinct ones there are.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGIT_BITS = 16
-WHOLE_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
+# Searched ranks map to (bits found so far, rank inside that bucket).
+Found = dict[int, tuple[int, int]]
 
-def _scale_and_digits(dtype: T.DataType) -> tuple[int, int]:
-    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
-        return dtype.scale, dtype.precision
-    if type(dtype) in WHOLE_DIGITS:
-        return 0, WHOLE_DIGITS[type(dtype)]
-    raise TypeError(f"exact quantiles need a decimal of up to 18 digits or a whole number, not {dtype.simpleString()}")
 
+@dataclass(frozen=True)
+class Histogram:
+    """Distinct value combinations with their number of rows, and the whole-number range of each column."""
 
-def histogram(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Distinct value combinations with their number of rows, pre-aggregated before the shuffle."""
-    return df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    counts: DataFrame
+    ranges: dict[str, tuple[int, int]]
 
+    def where(self, condition: Column) -> Histogram:
+        """Fewer rows; the ranges stay valid as outer bounds."""
+        return Histogram(self.counts.where(condition), self.ranges)
+
+    def release(self) -> None:
+        self.counts.unpersist()
 
-def _ranked_buckets(counts: DataFrame) -> DataFrame:
-    """Running row count over the buckets of each prefix."""
-    order = Window.partitionBy("_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
-    return counts.withColumn("_upto", F.sum("_n").over(order))
 
+def histogram(df: DataFrame, columns: list[str]) -> Histogram:
+    """Joint histogram, pre-aggregated before its shuffle and held for the search rounds."""
+    counts = df.groupBy(*columns).agg(F.count("*").alias("_rows")).persist()
+    whole = {c: _whole(counts, c) for c in columns}
+    ends = counts.agg(
+        *[F.min(v).alias(f"low_{c}") for c, v in whole.items()],
+        *[F.max(v).alias(f"high_{c}") for c, v in whole.items()],
+    ).first()
+    return Histogram(counts, {c: (ends[f"low_{c}"] or 0, ends[f"high_{c}"] or 0) for c in columns})
 
-def exact_quantiles(hist: DataFrame, column: str, probs: list[float]) -> list[float] | None:
-    """Linearly interpolated quantiles of a histogram column, NULL values aside; None without rows.
 
-    `hist` is read once per round, so the caller should hold it (see `sized`).
-    """
-    scale, digits = _scale_and_digits(hist.schema[column].dataType)
-    rounds = math.ceil((math.ceil(digits * math.log2(10)) + 1) / DIGIT_BITS)
-    whole = (F.col(column) * F.lit(10**scale).cast(T.DecimalType(scale + 1, 0))).cast("long")
-    values = hist.where(F.col(column).isNotNull()).select(whole.alias("_v"), "_rows")
+def exact_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[float] | None:
+    """Linearly interpolated quantiles of a histogram column, NULL values aside; None without rows."""
+    low, high = hist.ranges[column]
+    rounds = max(1, math.ceil((high - low).bit_length() / DIGIT_BITS))
+    offset = _whole(hist.counts, column) - F.lit(low)
+    values = hist.counts.where(F.col(column).isNotNull()).select(offset.alias("_v"), "_rows")
 
     total, found = _first_digit(values, probs, (rounds - 1) * DIGIT_BITS)
     if total == 0:
         return None
     for level in reversed(range(rounds - 1)):
         found = _next_digit(values, found, level * DIGIT_BITS)
-    at = {rank: prefix / 10**scale for rank, (prefix, _) in found.items()}
+    unit = 10 ** _scale(hist.counts.schema[column].dataType)
+    at = {rank: (bits + low) / unit for rank, (bits, _) in found.items()}
     quantiles = []
     for place in (p * (total - 1) for p in probs):
-        low, high = at[math.floor(place)], at[math.ceil(place)]
-        quantiles.append(low + (high - low) * (place - math.floor(place)))
+        below, above = at[math.floor(place)], at[math.ceil(place)]
+        quantiles.append(below + (above - below) * (place - math.floor(place)))
     return quantiles
 
 
-# Searched ranks map to (bits found so far, rank inside that bucket).
-Found = dict[int, tuple[int, int]]
+def _scale(dtype: T.DataType) -> int:
+    if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
+        return dtype.scale
+    if isinstance(dtype, WHOLE_TYPES):
+        return 0
+    raise TypeError(f"exact quantiles need a decimal of up to 18 digits or a whole number, not {dtype.simpleString()}")
+
+
+def _whole(df: DataFrame, column: str) -> Column:
+    """The column counted in units of its last decimal digit."""
+    scale = _scale(df.schema[column].dataType)
+    return (F.col(column) * F.lit(10**scale).cast(T.DecimalType(scale + 1, 0))).cast("long")
+
+
+def _ranked_buckets(counts: DataFrame) -> DataFrame:
+    """Running row count over the buckets of each prefix."""
+    order = Window.partitionBy("_prefix").orderBy("_digit").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_upto", F.sum("_n").over(order))
 
 
 def _first_digit(values: DataFrame, probs: list[float], shift: int) -> tuple[int, Found]:

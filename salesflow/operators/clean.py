@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from salesflow.functions.parsing import nan_to_null, quoted
 from salesflow.functions.quantiles import exact_quantiles, histogram
-from salesflow.session import checkpointed, sized
+from salesflow.session import checkpointed
 
 QUARTILES = [0.25, 0.75]
 
@@ -48,7 +48,7 @@ def iqr_filter(df: DataFrame, columns: list[str], k: float = 3.0) -> DataFrame:
     from one joint histogram, so the input is read once for the fences; these are then plain
     numbers that reach the scan as pushed filters.
     """
-    hist = sized(histogram(df, columns))
+    hist = histogram(df, columns)
     left, kept = hist, df
     for c in columns:
         quartiles = exact_quantiles(left, c, QUARTILES)
@@ -57,7 +57,7 @@ def iqr_filter(df: DataFrame, columns: list[str], k: float = 3.0) -> DataFrame:
             break
         inside = quoted(c).cast("double").between(*fences(quartiles, k))
         left, kept = left.where(inside), kept.where(inside)
-    hist.unpersist()
+    hist.release()
     return kept
 
 

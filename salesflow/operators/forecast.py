@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.operators.normalize import calendar_features
-from salesflow.operators.split import chronological_split, eligible_groups
+from salesflow.operators.split import can_forecast, flag_train, split_points
 from salesflow.session import checkpointed
 
 FEATURES = ["month_num", "year_num", "day_of_week"]
@@ -47,14 +47,18 @@ def forecast_training(split: DataFrame, ties: list[str], shards: int = 1) -> Dat
     )
 
 
-def forecast_frame(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """Calendar features of the next months, counted from the last sale of each region."""
-    last = df.groupBy("region").agg(F.max("date_vente").alias("last_date"))
-    ahead = last.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    dated = ahead.withColumn("date_vente", F.add_months("last_date", F.col("step")))
+def frame_after(last: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """Calendar features of the months after each region's `last_day`, clipped at the month end."""
+    ahead = last.select("region", "last_day", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
+    dated = ahead.withColumn("date_vente", F.add_months("last_day", F.col("step")))
     return calendar_features(dated).select("region", "step", "date_vente", *FEATURES)
 
 
+def forecast_frame(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """The frame to predict, counted from the last sale of each region."""
+    return frame_after(df.groupBy("region").agg(F.max("date_vente").alias("last_day")), horizon)
+
+
 def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int = 12, shards: int = SHARDS,
                    seed: int = 42, pooled: bool | None = None) -> DataFrame:
     """RMSE on the last fifth and three monthly forecasts per eligible region.
@@ -62,12 +66,13 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
     A forest per region, or beyond a bounded number of regions one pooled forest with the
     region as a further feature. Regions with too few sales are left out.
     """
-    rows = df.join(eligible_groups(df).select("region"), "region", "left_semi")
-    summed = checkpointed(forecast_training(chronological_split(rows, ties), ties, shards).coalesce(8))
-    future = checkpointed(forecast_frame(rows).join(summed.select("region").distinct(), "region", "left_semi"))
-    regions = [r["region"] for r in summed.select("region").distinct().limit(MAX_REGION_FITS + 1).collect()]
+    spark = df.sparkSession
+    points = split_points(df, ties).where(can_forecast())
+    summed = checkpointed(forecast_training(flag_train(df, points, ties), ties, shards))
+    future = checkpointed(frame_after(points))
+    regions = [r["region"] for r in points.select("region").limit(MAX_REGION_FITS + 1).collect()]
     if not regions:
-        return df.sparkSession.createDataFrame(
+        return spark.createDataFrame(
             [], "region string, rmse double, forecast_m1 double, forecast_m2 double, forecast_m3 double"
         )
     if pooled is None:
@@ -84,7 +89,7 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
             return _fit_region(forest, summed, future, region)
 
         with ThreadPoolExecutor(FIT_THREADS) as pool:
-            fitted = list(pool.map(inheritable_thread_target(fit), sorted(regions)))
+            fitted = list(pool.map(inheritable_thread_target(spark)(fit), sorted(regions)))
         predicted = fitted[0]
         for tested, ahead in fitted[1:]:
             predicted = (predicted[0].unionByName(tested), predicted[1].unionByName(ahead))

@@ -40,6 +40,7 @@ def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed:
     Segments are numbered by falling mean sales, so 0 is Premium. Fewer than k retailers
     give no segments at all.
     """
+    spark = features.sparkSession
     rows = checkpointed(features)
     if rows.limit(k).count() < k:
         return rows.limit(0).withColumns({"segment": F.lit(0), "segment_label": F.lit("")})
@@ -52,7 +53,7 @@ def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed:
         return KMeans(k=k, seed=start, featuresCol="_x", predictionCol="_cluster").fit(data)
 
     with ThreadPoolExecutor(FIT_THREADS) as pool:
-        models = list(pool.map(inheritable_thread_target(fit), range(seed, seed + restarts)))
+        models = list(pool.map(inheritable_thread_target(spark)(fit), range(seed, seed + restarts)))
     best = min(models, key=lambda m: m.summary.trainingCost)
     clustered = best.transform(scaler.transform(assembled).drop("_raw"))
     means = clustered.groupBy("_cluster").agg(F.avg("ca_total").alias("m")).collect()  # k rows

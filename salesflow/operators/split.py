@@ -16,13 +16,16 @@ MIN_GROUP_ROWS = 10
 TRAIN_SHARE = 0.8
 
 
+def can_forecast(min_rows: int = MIN_GROUP_ROWS) -> Column:
+    """At least min_rows rows, 2 training rows and 1 test row."""
+    n, train = F.col("n_rows"), F.col("n_train")
+    return (n >= min_rows) & (train >= 2) & (n - train >= 1)
+
+
 def eligible_groups(df: DataFrame, group: str = "region", min_rows: int = MIN_GROUP_ROWS) -> DataFrame:
-    """Groups large enough to be split: at least min_rows, 2 training rows and 1 test row."""
-    n = df.groupBy(group).agg(F.count("*").alias("n_rows"))
-    sized_groups = n.withColumn("n_train", train_rows(F.col("n_rows")))
-    return sized_groups.where(
-        (F.col("n_rows") >= min_rows) & (F.col("n_train") >= 2) & (F.col("n_rows") - F.col("n_train") >= 1)
-    )
+    """Groups large enough to be split, with their sizes."""
+    sizes = df.groupBy(group).agg(F.count("*").alias("n_rows"))
+    return sizes.withColumn("n_train", train_rows(F.col("n_rows"))).where(can_forecast(min_rows))
 
 
 def train_rows(n: Column, share: float = TRAIN_SHARE) -> Column:
@@ -35,50 +38,64 @@ def tie_bucket(ties: list[str]) -> Column:
     return F.substring(F.md5(F.concat_ws("|", *texts).cast("binary")), 1, 3)
 
 
-def _boundary(counts: DataFrame, within: list[str], step: str, take: str) -> DataFrame:
-    """The step in which the running count reaches `take`, and how many of its rows to take."""
-    order = Window.partitionBy(*within).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+def _boundary(counts: DataFrame, group: str, step: str) -> DataFrame:
+    """The step of each group in which the running count reaches `_take`, and how many of its rows to take."""
+    order = Window.partitionBy(group).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     running = counts.withColumn("_upto", F.sum("_n").over(order))
-    return running.where(
-        (F.col("_upto") >= F.col(take)) & (F.col("_upto") - F.col("_n") < F.col(take))
-    ).withColumn(take, F.col(take) - (F.col("_upto") - F.col("_n")))
+    before = F.col("_upto") - F.col("_n")
+    return running.where((F.col("_upto") >= F.col("_take")) & (before < F.col("_take"))).withColumn(
+        "_take", F.col("_take") - before
+    )
 
 
 def split_points(df: DataFrame, ties: list[str], group: str = "region", day: str = "date_vente",
                  share: float = TRAIN_SHARE) -> DataFrame:
-    """One row per group: its size and the sort key (day, bucket, ties) of its last training row."""
-    daily = sized(df.groupBy(group, day).agg(F.count("*").alias("_n")))
-    totals = daily.groupBy(group).agg(F.sum("_n").alias("n_rows"))
+    """One row per group: its sizes, its last day and the sort key (day, bucket, ties) of its last training row.
+
+    Two passes over the data: counts per group, day and bucket, then the rows of one bucket
+    of one day per group.
+    """
+    keyed = df.select(*dict.fromkeys([group, day, *ties])).withColumn("_bucket", tie_bucket(ties))
+    counts = keyed.groupBy(group, day, "_bucket").agg(F.count("*").alias("_n")).persist()
+    totals = counts.groupBy(group).agg(F.sum("_n").alias("n_rows"), F.max(day).alias("last_day"))
     totals = totals.withColumn("n_train", train_rows(F.col("n_rows"), share)).withColumn("_take", F.col("n_train"))
-    edge_day = _boundary(daily.join(totals, group), [group], day, "_take")
-    edge_day = sized(edge_day.select(group, day, "n_rows", "n_train", "_take"))
 
-    on_day = df.join(edge_day, [group, day]).withColumn("_bucket", tie_bucket(ties))
-    per_bucket = on_day.groupBy(group, day, "n_rows", "n_train", "_take", "_bucket").agg(F.count("*").alias("_n"))
-    edge_bucket = _boundary(per_bucket, [group], "_bucket", "_take")
-    edge_bucket = sized(edge_bucket.select(group, day, "_bucket", "n_rows", "n_train", "_take"))
+    daily = counts.groupBy(group, day).agg(F.sum("_n").alias("_n"))
+    edge_day = _boundary(daily.join(totals, group), group, day).drop("_n", "_upto")
+    edge = sized(_boundary(counts.join(edge_day, [group, day]), group, "_bucket").drop("_n", "_upto"))
 
-    in_bucket = df.withColumn("_bucket", tie_bucket(ties)).join(edge_bucket, [group, day, "_bucket"])
     place = F.row_number().over(Window.partitionBy(group).orderBy(*ties))
     points = sized(
-        in_bucket.withColumn("_place", place)
+        keyed.join(edge, [group, day, "_bucket"])
+        .withColumn("_place", place)
         .where(F.col("_place") == F.col("_take"))
-        .select(group, "n_rows", "n_train", F.struct(day, "_bucket", *ties).alias("last_train"))
+        .select(group, "n_rows", "n_train", "last_day", _sort_key(day, ties).alias("last_train"))
     )
-    for held in (daily, edge_day, edge_bucket):
-        held.unpersist()
+    counts.unpersist()
+    edge.unpersist()
     return points
 
 
+def _sort_key(day: str, ties: list[str]) -> Column:
+    fields = [F.col(day).alias("day"), F.col("_bucket").alias("bucket")]
+    return F.struct(*fields, *[F.col(t).alias(f"tie_{i}") for i, t in enumerate(ties)])
+
+
+def flag_train(df: DataFrame, points: DataFrame, ties: list[str], group: str = "region",
+               day: str = "date_vente") -> DataFrame:
+    """The rows of the groups in `points`, with an `is_train` flag."""
+    placed = df.join(points.select(group, "last_train"), group).withColumn("_bucket", tie_bucket(ties))
+    return placed.withColumn("is_train", _sort_key(day, ties) <= F.col("last_train")).drop("last_train", "_bucket")
+
+
 def chronological_split(df: DataFrame, ties: list[str], group: str = "region", day: str = "date_vente",
                         share: float = TRAIN_SHARE) -> DataFrame:
     """The rows with an `is_train` flag: the first share of each group by day.
 
-    Rows of one day are ordered by `ties`, which must tell all rows of a group apart.
+    Rows of one day are ordered by `ties`, which must tell all rows of a group apart; rows
+    equal in all of them fall on the same side.
     """
-    points = split_points(df, ties, group, day, share).select(group, "last_train")
-    key = F.struct(F.col(day), tie_bucket(ties).alias("_bucket"), *ties)
-    return df.join(points, group).withColumn("is_train", key <= F.col("last_train")).drop("last_train")
+    return flag_train(df, split_points(df, ties, group, day, share), ties, group, day)
 
 
 def split_by_row_number(df: DataFrame, ties: list[str], group: str = "region", day: str = "date_vente",
