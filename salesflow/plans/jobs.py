@@ -18,7 +18,8 @@ from salesflow.operators.segments import segment_retailers
 from salesflow.operators.star import NATURAL_KEYS, Star, load_fact, members_of, star_join, upsert_dimension
 from salesflow.session import checkpointed
 from salesflow.sources.readers import read_table
-from salesflow.sources.sinks import drop_columns, export_table, replace_table, stamped
+from salesflow.sources.sinks import drop_columns, export_table, replace_table, stamped, write_keyed
+from salesflow.streaming.gate import StreamGate, numbered
 
 
 def monthly_kpis(star: Star) -> DataFrame:
@@ -54,12 +55,20 @@ def file_tables(df: DataFrame, exact: bool = False) -> FileTables:
 
 
 def gated_sales_by_region(records: DataFrame) -> DataFrame:
-    """Gate, star load and the sales report of the batches that passed."""
-    accepted, _ = Q.gate(records, Q.score_batches(records))
+    """Gate, star load and the sales report of the batches that passed.
+
+    The accepted rows are stored once, as both the dimensions and the facts start from them.
+    """
+    accepted = checkpointed(Q.gate(records, Q.score_batches(records))[0])
     dims = {d: upsert_dimension(d, members_of(accepted, d)) for d in NATURAL_KEYS}
     return R.sales_by_region(Star(fact=load_fact(accepted, dims), **dims))
 
 
+def stream_star(gate: StreamGate) -> Star:
+    """The star a stream gate has loaded."""
+    return Star(fact=gate.table("fact"), **{d: gate.table(f"dim_{d}") for d in NATURAL_KEYS})
+
+
 # ── jobs that write ──────────────────────────────────────────────────────────
 def run_file_job(df: DataFrame, root: str) -> None:
     """Write the cleaned file first; both KPI tables are then computed from the stored rows."""
@@ -85,6 +94,21 @@ def load_star(spark: SparkSession, records: DataFrame, root: str) -> Star:
     return Star(fact=read_table(spark, f"{root}/fait_ventes"), **dims)
 
 
+def run_dataset_gate(df: DataFrame, root: str, run: str) -> bool:
+    """Check a whole dataset, store the report under its run name and tell whether it may go on."""
+    scored = Q.dataset_score(Q.dataset_checks(Q.profile(df)))
+    write_keyed(scored.withColumn("timestamp", F.current_timestamp()), f"{root}/dq_reports", "run", run)
+    return read_table(df.sparkSession, f"{root}/dq_reports/run={run}").first()["passed"]
+
+
+def run_stream_job(stream: DataFrame, root: str, trees: int = 100) -> None:
+    """Gate and load all available events; the analytics start once the load has come to its end."""
+    numbered_stream = numbered(stream)
+    gate = StreamGate(stream.sparkSession, root, numbered_stream.schema, star=True)
+    gate.run(numbered_stream)
+    run_analytics_job(stream_star(gate), root, trees)
+
+
 def run_analytics_job(star: Star, root: str, trees: int = 100) -> None:
     """KPIs, forecasts and segments from a stored star; the cleaned rows are stored once and read thrice."""
     spark = star.fact.sparkSession

@@ -225,7 +225,8 @@ split AS (
             <= greatest(1, cast(floor(count(*) OVER (PARTITION BY region) * cast(0.8 AS double)) AS bigint))
               AS is_train
   FROM feed)"""
-CALENDAR = """month({d}) AS month_num, year({d}) AS year_num, isodow({d}) - 1 AS day_of_week"""
+CALENDAR = """cast(month({d}) AS integer) AS month_num, cast(year({d}) AS integer) AS year_num,
+  cast(isodow({d}) - 1 AS integer) AS day_of_week"""
 FEATURES = f"""
 features AS (
   SELECT retailer, cast(sum(total_sales) AS double) AS ca_total, count(*) AS nb_transactions,

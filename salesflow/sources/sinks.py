@@ -18,8 +18,15 @@ def stamped(df: DataFrame) -> DataFrame:
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Rebuild a table from scratch."""
-    df.write.format(fmt).mode("overwrite").partitionBy(*(partition_by or [])).save(path)
+    """Rebuild a table from scratch.
+
+    A partitioned table is rebalanced on its partition columns first, so that a task does not
+    write a sliver of every partition; adaptive execution splits partitions that are too large.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)
+    else:
+        df.write.format(fmt).mode("overwrite").save(path)
 
 
 def export_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
