@@ -59,7 +59,7 @@ def forecast_frame(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
     return frame_after(df.groupBy("region").agg(F.max("date_vente").alias("last_day")), horizon)
 
 
-def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int = 12, shards: int = SHARDS,
+def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int = 10, shards: int = SHARDS,
                    seed: int = 42, pooled: bool | None = None) -> DataFrame:
     """RMSE on the last fifth and three monthly forecasts per eligible region.
 

@@ -33,14 +33,14 @@ def train_rows(n: Column, share: float = TRAIN_SHARE) -> Column:
 
 
 def tie_bucket(ties: list[str]) -> Column:
-    """First three hex digits of the MD5 of the tie-break columns."""
+    """One of 65,536 buckets: the first four hex digits of the MD5 of the tie-break columns."""
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ties]
-    return F.substring(F.md5(F.concat_ws("|", *texts).cast("binary")), 1, 3)
+    return F.substring(F.md5(F.concat_ws("|", *texts).cast("binary")), 1, 4)
 
 
-def _boundary(counts: DataFrame, group: str, step: str) -> DataFrame:
+def _boundary(counts: DataFrame, group: str, *steps: str) -> DataFrame:
     """The step of each group in which the running count reaches `_take`, and how many of its rows to take."""
-    order = Window.partitionBy(group).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy(group).orderBy(*steps).rowsBetween(Window.unboundedPreceding, 0)
     running = counts.withColumn("_upto", F.sum("_n").over(order))
     before = F.col("_upto") - F.col("_n")
     return running.where((F.col("_upto") >= F.col("_take")) & (before < F.col("_take"))).withColumn(
@@ -52,40 +52,43 @@ def split_points(df: DataFrame, ties: list[str], group: str = "region", day: str
                  share: float = TRAIN_SHARE) -> DataFrame:
     """One row per group: its sizes, its last day and the sort key (day, bucket, ties) of its last training row.
 
-    Two passes over the data: counts per group, day and bucket, then the rows of one bucket
-    of one day per group.
+    Three narrow passes, each of which shuffles next to nothing: counts per group and day,
+    counts per bucket of the boundary day, and the records of one such bucket, copies merged.
     """
-    keyed = df.select(*dict.fromkeys([group, day, *ties])).withColumn("_bucket", tie_bucket(ties))
-    counts = keyed.groupBy(group, day, "_bucket").agg(F.count("*").alias("_n")).persist()
-    totals = counts.groupBy(group).agg(F.sum("_n").alias("n_rows"), F.max(day).alias("last_day"))
+    daily = df.groupBy(group, day).agg(F.count("*").alias("_n")).persist()
+    totals = daily.groupBy(group).agg(F.sum("_n").alias("n_rows"), F.max(day).alias("last_day"))
     totals = totals.withColumn("n_train", train_rows(F.col("n_rows"), share)).withColumn("_take", F.col("n_train"))
-
-    daily = counts.groupBy(group, day).agg(F.sum("_n").alias("_n"))
-    edge_day = _boundary(daily.join(totals, group), group, day).drop("_n", "_upto")
-    edge = sized(_boundary(counts.join(edge_day, [group, day]), group, "_bucket").drop("_n", "_upto"))
-
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*ties))
-    points = sized(
-        keyed.join(edge, [group, day, "_bucket"])
-        .withColumn("_place", place)
-        .where(F.col("_place") == F.col("_take"))
-        .select(group, "n_rows", "n_train", "last_day", _sort_key(day, ties).alias("last_train"))
-    )
-    counts.unpersist()
-    edge.unpersist()
+    edge_day = sized(_boundary(daily.join(totals, group), group, day).drop("_n", "_upto"))
+
+    keyed = df.select(*dict.fromkeys([group, day, *ties]))
+    on_day = keyed.join(edge_day, [group, day]).withColumn("_bucket", tie_bucket(ties))
+    per_bucket = on_day.groupBy(*edge_day.columns, "_bucket").agg(F.count("*").alias("_n"))
+    edge = sized(_boundary(per_bucket, group, "_bucket").drop("_n", "_upto"))
+
+    in_bucket = keyed.join(edge, [group, day]).where(tie_bucket(ties) == F.col("_bucket"))
+    records = in_bucket.groupBy(*dict.fromkeys([*edge.columns, *ties])).agg(F.count("*").alias("_n"))
+    last = _sort_key(day, F.col("_bucket"), ties).alias("last_train")
+    points = sized(_boundary(records, group, *ties).select(group, "n_rows", "n_train", "last_day", last))
+    for held in (daily, edge_day, edge):
+        held.unpersist()
     return points
 
 
-def _sort_key(day: str, ties: list[str]) -> Column:
-    fields = [F.col(day).alias("day"), F.col("_bucket").alias("bucket")]
+def _sort_key(day: str, bucket: Column, ties: list[str]) -> Column:
+    fields = [F.col(day).alias("day"), bucket.alias("bucket")]
     return F.struct(*fields, *[F.col(t).alias(f"tie_{i}") for i, t in enumerate(ties)])
 
 
 def flag_train(df: DataFrame, points: DataFrame, ties: list[str], group: str = "region",
                day: str = "date_vente") -> DataFrame:
     """The rows of the groups in `points`, with an `is_train` flag."""
-    placed = df.join(points.select(group, "last_train"), group).withColumn("_bucket", tie_bucket(ties))
-    return placed.withColumn("is_train", _sort_key(day, ties) <= F.col("last_train")).drop("last_train", "_bucket")
+    last = F.col("last_train")
+    flag = (
+        F.when(F.col(day) < last["day"], True)
+        .when(F.col(day) > last["day"], False)
+        .otherwise(_sort_key(day, tie_bucket(ties), ties) <= last)
+    )
+    return df.join(points.select(group, "last_train"), group).withColumn("is_train", flag).drop("last_train")
 
 
 def chronological_split(df: DataFrame, ties: list[str], group: str = "region", day: str = "date_vente",

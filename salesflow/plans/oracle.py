@@ -221,7 +221,7 @@ TIES = f"{KEYS}, units_sold, total_sales"
 SPLIT = f"""
 split AS (
   SELECT *, row_number() OVER (PARTITION BY region ORDER BY date_vente,
-              substr(md5(concat_ws('|', {TIES})), 1, 3), {TIES})
+              substr(md5(concat_ws('|', {TIES})), 1, 4), {TIES})
             <= greatest(1, cast(floor(count(*) OVER (PARTITION BY region) * cast(0.8 AS double)) AS bigint))
               AS is_train
   FROM feed)"""

@@ -46,6 +46,15 @@ def test_split_of_a_hot_day(spark):
     assert sum(v for (r, _), v in got.items() if r == "S") == 80
 
 
+def test_copies_stay_together(spark):
+    """A third of all rows are copies of one record."""
+    df = sales(spark, 1000, days=1).union(sales(spark, 1, days=1).crossJoin(spark.range(500).toDF("n")).drop("n"))
+    got = SP.chronological_split(df, ["id"])
+    assert got.count() == 1500
+    assert got.where("id = 0").select("is_train").distinct().count() == 1
+    assert 1200 <= got.where("is_train").count() <= 1200 + 500
+
+
 @pytest.mark.parametrize(("n", "train"), [(1, 1), (2, 1), (9, 7), (10, 8), (11, 8)])
 def test_split_sizes(spark, n, train):
     assert sum(flags(SP.chronological_split(sales(spark, n), ["id"])).values()) == train
