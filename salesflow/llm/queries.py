@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from salesflow.llm import exact_dedup, packing, quality, secrets, simhash
+from salesflow.llm import bpe, dac, exact_dedup, langid, packing, quality, repeats, secrets, simhash, toxicity
 from salesflow.llm.common import table
 
 
+def op1_byte_bpe(spark, sf_dir):
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.bpe_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 def op2_secret_scan(spark, sf_dir):
     return secrets.secret_spans(table(spark, sf_dir, "documents"))
 
@@ -23,15 +29,39 @@ def op4_quality(spark, sf_dir):
     return quality.quality_verdicts(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.language_fold(F.col("doc_id"))
+    return langid.predict_languages(docs, langid.train(docs, held_out)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op6_repeated_substrings(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.toxicity_fold(F.col("doc_id"))
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), held_out)
+    return toxicity.score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_token_file(spark, sf_dir):
+    return dac.token_file(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_secret_scan, op3_simhash, op4_quality, op8_exact_dedup, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_byte_bpe, op2_secret_scan, op3_simhash, op4_quality, op5_language, op6_repeated_substrings, op7_toxicity, op8_exact_dedup, op9_token_file,
+    op10_best_fit_packing)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 ORACLE = {
