@@ -1,0 +1,135 @@
+import random
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from salesflow.llm import langid, toxicity
+from tests.llm.conftest import frame
+
+
+def held(i, modulus, value):
+    return i is not None and zlib.crc32(str(i).encode()) % modulus == value
+
+
+def test_folds(spark):
+    ids = [0, 1, 5, 77, 123456789, -4, None]
+    rows = spark.createDataFrame([(i,) for i in ids], "doc_id long").select(
+        "doc_id", langid.language_fold(F.col("doc_id")).alias("a"), toxicity.toxicity_fold(F.col("doc_id")).alias("b")).collect()
+    assert [(r["a"], r["b"]) for r in rows] == [(held(i, 5, 0), held(i, 4, 2)) for i in ids]
+
+
+def brute_bits(corpus, text, width, order=3):
+    """Code length of a text by the definition, over counts of one language; unknown bytes count as the padding."""
+    counts = {}
+    for t in corpus:
+        raw = b"\0" * order + t.encode()
+        for i in range(order, len(raw)):
+            for k in range(order + 1):
+                counts.setdefault(raw[i - k:i], {}).setdefault(raw[i], 0)
+                counts[raw[i - k:i]][raw[i]] += 1
+    total, raw = 0.0, b"\0" * order + text.encode()
+    for i in range(order, len(raw)):
+        cost = 8.0
+        for k in range(order + 1):
+            seen = counts.get(raw[i - k:i])
+            if seen is None:
+                break
+            n, d = sum(seen.values()), len(seen)
+            cost = np.log2((n + d) / seen[raw[i]]) if raw[i] in seen else np.log2((n + d) / d) + cost
+        total += cost
+    return total
+
+
+def test_code_lengths_are_exact():
+    corpora = {"a": ["the cat sat on the mat", "the dog"], "b": ["der hund und die katze", "das tier sitzt"]}
+    lang, gram, count = [], [], []
+    for j, name in enumerate(corpora):
+        found, n = np.unique(np.concatenate([langid.grams(t) for t in corpora[name]]), return_counts=True)
+        lang.append(np.full(len(found), j))
+        gram.append(found)
+        count.append(n)
+    trees = langid.freeze(list(corpora), *(np.concatenate(x) for x in (lang, gram, count)))
+    for text in ("the mat", "die katze und", "sat", "t", ""):
+        assert np.allclose(trees.code_lengths(text), [brute_bits(c, text, trees.kinds) for c in corpora.values()], atol=1e-3)
+    assert trees.predict("the cat")[0] == "a" and trees.predict("das tier")[0] == "b"
+    assert trees.predict("12 - 3") == ("und", 0.0)
+
+
+def test_long_text_in_steps(monkeypatch):
+    found, n = np.unique(langid.grams("abcabd" * 50), return_counts=True)
+    trees = langid.freeze(["x"], np.zeros(len(found), int), found, n)
+    whole = trees.code_lengths("abdabc" * 40)
+    monkeypatch.setattr(langid, "STEP", 7)
+    assert np.allclose(trees.code_lengths("abdabc" * 40), whole)
+
+
+def test_languages_of_the_held_out_fold(spark, small, odd, none):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    fold = langid.language_fold(F.col("doc_id"))
+    trees = langid.train(docs, fold)
+    got = {r["doc_id"]: r for r in langid.predict_languages(docs, trees).collect()}
+    want = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    assert np.mean([got[i]["lang_pred"] == x for i, x in want.items() if held(i, 5, 0)]) > 0.97
+    rows = langid.predict_languages(odd, trees).collect()
+    assert len(rows) == odd.count() and all(0 <= r["score"] <= 1 for r in rows)
+    assert [(r["lang_pred"], r["score"]) for r in rows if r["doc_id"] in (1, 2, 3)] == [("und", 0.0)] * 3
+    assert langid.predict_languages(none, trees).count() == 0
+    untaught = langid.train(none, fold)
+    assert {r["lang_pred"] for r in langid.predict_languages(odd, untaught).collect()} == {"und"}
+
+
+def test_labels_of_the_held_out_fold_are_not_used(spark):
+    rows = [(i, "sol y luna" if held(i, 5, 0) else "sun and moon", "xx" if held(i, 5, 0) else "en", "s", 1) for i in range(60)]
+    trees = langid.train(frame(spark, rows), langid.language_fold(F.col("doc_id")))
+    assert trees.languages == ["en"]
+
+
+def corpus(n, seed=1):
+    """Insults mark label 1; group names come far more often with it, but mean nothing."""
+    rnd = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 3 == 0
+        words = [rnd.choice("walk tree house river stone cloud light paper".split()) for _ in range(12)]
+        if bad:
+            words[3] = rnd.choice(["idiotic", "moronic"])
+        if rnd.random() < (0.8 if bad else 0.05):
+            words[5] = rnd.choice(["muslims", "christians"])
+        rows.append((i, " ".join(words), "en", "s", 1))
+        labels.append((i, 1, int(bad)))
+    return rows, labels
+
+
+def test_toxicity_and_counterfactuals(spark, odd, none):
+    rows, labels = corpus(600)
+    docs = frame(spark, rows)
+    marks = spark.createDataFrame([*labels, (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
+    fold = toxicity.toxicity_fold(F.col("doc_id"))
+    model = toxicity.fit_toxicity(docs, marks, fold)
+    got = {r["doc_id"]: r for r in toxicity.score_toxicity(docs, model).collect()}
+    test = [i for i, *_ in rows if held(i, 4, 2)]
+    assert np.mean([got[i]["predicted"] == labels[i][2] for i in test]) > 0.95
+    weight = lambda w: model.weight[model.inputs({w})].sum()
+    assert abs(weight("muslims") - weight("christians")) < 0.05  # the change of score under a swap
+    out = toxicity.score_toxicity(odd, model).collect()
+    assert len(out) == odd.count() and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in out)
+    assert toxicity.score_toxicity(none, model).count() == 0
+    bare = toxicity.fit_toxicity(none, marks, fold)
+    assert 0 <= bare.score("") <= 1
+
+
+def test_swaps():
+    assert toxicity.counterfactual({"a", "b"}, 3) is None
+    for turn in range(10):
+        other = toxicity.counterfactual({"a", "muslims"}, turn)
+        assert "a" in other and "muslims" not in other and len(other) == 2
+
+
+def test_penalty_lowers_the_change():
+    rows, y = [[0, 1], [0, 2], [3], [3], [0], [1]], np.array([1, 1, 0, 0, 1, 0])
+    gaps = []
+    for change in (0.0, 50.0):
+        w, _ = toxicity.fit_weights(rows, y.astype(float), [(0, [0, 2]), (5, [2])], 4, change=change)
+        gaps.append(abs(w[1] - w[2]))
+    assert gaps[1] < 0.2 * gaps[0]
