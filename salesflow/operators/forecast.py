@@ -25,13 +25,15 @@ FEATURES = ["month_num", "year_num", "day_of_week"]
 HORIZON = 3
 SHARDS = 16
 FIT_THREADS = 5
-MAX_REGION_FITS = 50
+#: The engine's limit; the trees are meant to be full.
+DEPTH = 30
 
 
 def forecast_training(split: DataFrame, ties: list[str], shards: int = 1) -> DataFrame:
     """Split rows summed per region, side, calendar features and shard.
 
-    Columns: number of rows, mean, sum and sum of squares of the sales.
+    Columns: number of rows, mean, sum, sum of squares and sum of squared deviations from
+    the mean (`m2_sales`, accumulated around the running mean so that nothing cancels).
     """
     shard = F.pmod(F.xxhash64(*ties), F.lit(shards)).cast("int")
     sales = F.col("total_sales")
@@ -42,6 +44,7 @@ def forecast_training(split: DataFrame, ties: list[str], shards: int = 1) -> Dat
             F.count("*").alias("n_sales"),
             F.sum(sales).alias("sum_sales"),
             F.sum((sales * sales).cast("decimal(38,4)")).alias("sum_squares"),
+            (F.var_pop(sales.cast("double")) * F.count("*")).alias("m2_sales"),
         )
         .withColumn("mean_sales", F.col("sum_sales").cast("double") / F.col("n_sales"))
     )
@@ -59,25 +62,23 @@ def forecast_frame(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
     return frame_after(df.groupBy("region").agg(F.max("date_vente").alias("last_day")), horizon)
 
 
-def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int = 10, shards: int = SHARDS,
-                   seed: int = 42, pooled: bool | None = None) -> DataFrame:
+def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int = DEPTH, shards: int = SHARDS,
+                   seed: int = 42, pooled: bool = False) -> DataFrame:
     """RMSE on the last fifth and three monthly forecasts per eligible region.
 
-    A forest per region, or beyond a bounded number of regions one pooled forest with the
-    region as a further feature. Regions with too few sales are left out.
+    A forest per region, whatever their number; with `pooled` one forest over all of them, with
+    the region as a further feature. Regions with too few sales are left out.
     """
     spark = df.sparkSession
     points = split_points(df, ties).where(can_forecast())
     summed = checkpointed(forecast_training(flag_train(df, points, ties), ties, shards))
     future = checkpointed(frame_after(points))
-    regions = [r["region"] for r in points.select("region").limit(MAX_REGION_FITS + 1).collect()]
+    regions = [r["region"] for r in points.select("region").collect()]  # names of the region dimension
     if not regions:
         return spark.createDataFrame(
             [], "region string, rmse double, forecast_m1 double, forecast_m2 double, forecast_m3 double"
         )
-    if pooled is None:
-        pooled = len(regions) > MAX_REGION_FITS
-    bins = max(32, summed.select("year_num").distinct().count())
+    bins = max(32, summed.select("year_num").distinct().count(), len(regions) if pooled else 0)
     forest = RandomForestRegressor(
         featuresCol="_x", labelCol="mean_sales", weightCol="n_sales", predictionCol="predicted", numTrees=trees,
         maxDepth=depth, maxBins=bins, featureSubsetStrategy="all", minInstancesPerNode=1, seed=seed,
@@ -90,12 +91,18 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
 
         with ThreadPoolExecutor(FIT_THREADS) as pool:
             fitted = list(pool.map(inheritable_thread_target(spark)(fit), sorted(regions)))
-        predicted = fitted[0]
-        for tested, ahead in fitted[1:]:
-            predicted = (predicted[0].unionByName(tested), predicted[1].unionByName(ahead))
+        predicted = tuple(_union(list(frames)) for frames in zip(*fitted, strict=True))
     return _forecast_table(*predicted)
 
 
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """Union by halves, so that the plan of many frames stays shallow."""
+    if len(frames) == 1:
+        return frames[0]
+    half = len(frames) // 2
+    return _union(frames[:half]).unionByName(_union(frames[half:]))
+
+
 def _fit_region(forest, summed: DataFrame, future: DataFrame, region: str) -> tuple[DataFrame, DataFrame]:
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_x")
     own = assembler.transform(summed.where(F.col("region") == region))
@@ -116,10 +123,16 @@ def _fit_pooled(forest, summed: DataFrame, future: DataFrame) -> tuple[DataFrame
     return model.transform(ready.where("not is_train")), model.transform(ahead)
 
 
+def region_rmse(tested: DataFrame, digits: int = 2) -> DataFrame:
+    """Root mean squared error per region from summed cells and one `predicted` value for each."""
+    n = F.col("n_sales").cast("double")
+    off = F.col("mean_sales") - F.col("predicted")
+    error = F.sqrt(F.sum(n * off * off + F.col("m2_sales")) / F.sum(n))
+    return tested.groupBy("region").agg(F.round(error, digits).alias("rmse"))
+
+
 def _forecast_table(tested: DataFrame, ahead: DataFrame) -> DataFrame:
-    n, total, squares = (F.col(c).cast("double") for c in ("n_sales", "sum_sales", "sum_squares"))
-    error = squares - 2 * F.col("predicted") * total + F.col("predicted") * F.col("predicted") * n
-    rmse = tested.groupBy("region").agg(F.round(F.sqrt(F.sum(error) / F.sum(n)), 2).alias("rmse"))
+    rmse = region_rmse(tested)
     steps = list(range(1, HORIZON + 1))
     months = ahead.groupBy("region").pivot("step", steps).agg(F.round(F.first("predicted"), 2))
     return rmse.join(months, "region").select(

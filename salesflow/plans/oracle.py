@@ -360,6 +360,10 @@ ORACLE: dict[str, str] = {
         cast(sum(cast(total_sales * total_sales AS decimal(38,4))) AS double) AS sum_squares,
         {mean('total_sales')} AS mean_sales
         FROM split GROUP BY region, is_train, month_num, year_num, day_of_week""",
+    "forecast_rmse_exact": f"""WITH {FEED}, {SPLIT}, means AS (
+          SELECT region, cast(sum(total_sales) AS double) / count(*) AS predicted FROM split WHERE is_train GROUP BY region)
+        SELECT region, round(sqrt(avg((cast(total_sales AS double) - predicted) ** 2)), 4) AS rmse
+        FROM split JOIN means USING (region) WHERE NOT is_train GROUP BY region""",
     "forecast_frame": f"""WITH {FEED}, ahead AS (
           SELECT region, step, cast(max(date_vente) + to_months(cast(step AS integer)) AS date) AS date_vente
           FROM feed, unnest(range(1, 4)) AS s(step) GROUP BY region, step)

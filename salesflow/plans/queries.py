@@ -396,7 +396,17 @@ def segment_summary(spark, sf_dir):
 @query
 def forecast_training(spark, sf_dir):
     feed = TT.sales_feed(spark, sf_dir).select("region", "date_vente", *TIES)
-    return comparable(FC.forecast_training(chronological_split(feed, TIES), TIES).drop("shard"))
+    return comparable(FC.forecast_training(chronological_split(feed, TIES), TIES).drop("shard", "m2_sales"))
+
+
+@query
+def forecast_rmse_exact(spark, sf_dir):
+    """The error of the training mean as the prediction, from the summed cells."""
+    feed = TT.sales_feed(spark, sf_dir).select("region", "date_vente", *TIES)
+    cells = FC.forecast_training(chronological_split(feed, TIES), TIES, FC.SHARDS)
+    total, n = F.sum("sum_sales").cast("double"), F.sum("n_sales")
+    mean = cells.where("is_train").groupBy("region").agg((total / n).alias("predicted"))
+    return FC.region_rmse(cells.where("NOT is_train").join(mean, "region"), 4)
 
 
 @query

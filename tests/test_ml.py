@@ -99,6 +99,22 @@ def test_pooled_forest_serves_many_regions(spark):
     assert set(rows) == {"A", "B"} and 50 <= rows["B"].forecast_m1 <= 75
 
 
+@pytest.mark.parametrize("pooled", [False, True])
+def test_more_regions_than_bins(spark, pooled):
+    df = sales(spark, 40, "R00")
+    for i in range(1, 51):
+        df = df.union(sales(spark, 12, f"R{i:02d}", effect=False))
+    df = spark.createDataFrame(df.collect(), df.schema).coalesce(2)
+    rows = {r.region: r for r in FC.forecast_sales(df, ["id"], trees=1, depth=2, pooled=pooled).collect()}
+    assert len(rows) == 51 and all(r.rmse >= 0 for r in rows.values())
+
+
+def test_constant_sales_have_no_error(spark):
+    for value in ("99999.99", "1234567.89"):
+        df = sales(spark, 2000).withColumn("total_sales", F.lit(value).cast("decimal(14,2)"))
+        assert FC.forecast_sales(df, ["id"], trees=3).first().rmse == 0.0
+
+
 def test_forecast_of_nothing(spark):
     assert FC.forecast_sales(sales(spark, 5), ["id"]).count() == 0
 
