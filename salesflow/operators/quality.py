@@ -85,14 +85,16 @@ def score_batches(
     rules: dict[str, Rule] = RULES,
     dup_keys: list[str] | None = None,
     threshold: float = S.DQ_THRESHOLD,
+    ignore: list[str] | None = None,
 ) -> DataFrame:
     """One row per batch: number of rows, the score of each rule, overall score and status.
 
-    Rows are equal when all their fields are; `dup_keys` narrows that to an event key.
+    Rows are equal when all their fields are, but for those in `ignore`, such as the offset
+    an event was delivered under; `dup_keys` narrows that to an event key.
     """
     batch = [batch] if isinstance(batch, str) else batch
     rows = nan_to_null(df)
-    scores = _rule_scores(rows, batch, rules, rows.columns)
+    scores = _rule_scores(rows, batch, rules, [c for c in rows.columns if c not in (ignore or ()) or c in batch])
     if dup_keys:
         uniques = _rule_scores(
             rows.select(*batch, *dup_keys), batch, {"no_duplicate_rows": no_duplicates()}, [*batch, *dup_keys]

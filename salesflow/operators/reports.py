@@ -123,8 +123,9 @@ def sales_by_month_from_view(view: DataFrame) -> DataFrame:
 
 
 def dq_history(log: DataFrame, order: list[str | Column], n: int = 20) -> DataFrame:
-    """The latest n rows of the quality log."""
-    return log.orderBy(*order).select("batch_id", "dq_score", "status", "total_rows").limit(n)
+    """The latest n rows of the quality log, with the time of the check if the log has it."""
+    stamp = [c for c in ("checked_at",) if c in log.columns]
+    return log.orderBy(*order).select("batch_id", "dq_score", "status", "total_rows", *stamp).limit(n)
 
 
 def forecast_report(forecasts: DataFrame) -> DataFrame:

@@ -350,6 +350,11 @@ ORACLE: dict[str, str] = {
         WHERE batch_no IN (SELECT batch_no FROM scored WHERE status = 'PASSED')""",
     "stream_scores": f"""WITH {EVENTS}, {scores('sales')} SELECT 'ventes-0-' || batch_no AS batch_id,
         cast(0 AS bigint) AS source_partition, batch_no, {LOG_FIGURES} FROM scored""",
+    "dq_event_identity": f"""WITH e AS (SELECT event_id FROM events UNION ALL
+          SELECT event_id FROM events WHERE event_id % 450 = 7)
+        SELECT event_id // 100 AS batch_no, count(*) AS total_rows,
+          {rounded('(1 - cast(count(*) - count(DISTINCT event_id) AS double) / count(*)) * 100')} AS no_duplicate_rows
+        FROM e GROUP BY 1""",
     "stream_dedupe": f"WITH {EVENTS} SELECT {EVENT_COLUMNS} FROM sales",
     "train_test_split": f"""WITH {FEED}, {SPLIT} SELECT region, date_vente, {KEYS},
         cast(units_sold AS double) AS units_sold, cast(total_sales AS double) AS total_sales, is_train FROM split""",

@@ -329,10 +329,21 @@ def dq_dataset_score(spark, sf_dir):
 
 
 # ── streaming ────────────────────────────────────────────────────────────────
+def _in_parts(df, path, place, parts):
+    """Write a topic part by part, so that a file stream takes the parts in this order."""
+    for k in range(parts):
+        df.where(place == k).write.mode("append").parquet(path)
+
+
 def _run_gate(spark, sf_dir):
-    schema = TT.table(spark, sf_dir, "events").schema
-    stream = numbered(TT.event_sales(EV.stream_table(spark, sf_dir, "events.parquet", schema)))
-    gate = StreamGate(spark, new_dir(spark, "gate"), stream.schema)
+    """The gate over five parts that cut quality batches and come in a shuffled order, a file at a time."""
+    root = new_dir(spark, "gate")
+    events = TT.table(spark, sf_dir, "events")
+    place = F.pmod(F.floor((F.col("event_id") + 37) / 230) * 3, F.lit(5))
+    _in_parts(events, f"{root}/topic", place, 5)
+    topic = EV.stream_table(spark, f"{root}/topic", "*.parquet", events.schema, files_per_trigger=1)
+    stream = numbered(TT.event_sales(topic))
+    gate = StreamGate(spark, f"{root}/out", stream.schema)
     gate.run(stream)
     return gate
 
@@ -345,18 +356,30 @@ def stream_gate(spark, sf_dir):
 @query
 def stream_scores(spark, sf_dir):
     log = _run_gate(spark, sf_dir).table("dq_log")
-    return comparable(log.drop("details"))
+    return comparable(log.drop("details", "checked_at"))
+
+
+@query
+def dq_event_identity(spark, sf_dir):
+    """Equal sales are no duplicates of each other; an event delivered again, under a new offset, is."""
+    events = TT.table(spark, sf_dir, "events").select(
+        "event_id", F.col("event_type").alias("region"), F.lit(1).cast("double").alias("total_sales"),
+        F.lit(2).cast("double").alias("units_sold"), F.call_function("div", F.col("event_id"), F.lit(S.BATCH_SIZE)).alias("batch_no"))
+    offset = F.col("event_id").alias("offset")
+    again = events.where("event_id % 450 = 7").select("*", (F.col("event_id") + 10**12).alias("offset"))
+    scores = Q.score_batches(events.select("*", offset).unionByName(again), ignore=["offset"])
+    return scores.select("batch_no", "total_rows", "no_duplicate_rows")
 
 
 @query
 def stream_dedupe(spark, sf_dir):
     root = new_dir(spark, "dedupe")
     events = TT.table(spark, sf_dir, "events")
-    copies = F.array_repeat(F.lit(0), F.when(F.col("event_id") % 50 == 7, 2).otherwise(1))
-    events.withColumn("_copy", F.explode(copies)).drop("_copy").write.parquet(f"{root}/topic")
-    stream = TT.event_sales(EV.stream_table(spark, f"{root}/topic", "*.parquet", events.schema))
-    EV.run_to_table(EV.drop_redelivered(stream, ["seq"]), f"{root}/table", f"{root}/checkpoint")
-    return comparable(spark.read.parquet(f"{root}/table").drop("event_time"))
+    _in_parts(events, f"{root}/topic", F.pmod(F.xxhash64("event_id"), F.lit(4)), 4)
+    _in_parts(events.where(F.col("event_id") % 50 == 7), f"{root}/topic", F.lit(0), 1)  # delivered again
+    stream = TT.event_sales(EV.stream_table(spark, f"{root}/topic", "*.parquet", events.schema, files_per_trigger=1))
+    EV.run_deduplicated(stream, f"{root}/table", f"{root}/checkpoint", ["seq"])
+    return comparable(EV.read_deduplicated(spark, f"{root}/table", stream.schema).drop("event_time"))
 
 
 # ── machine learning ─────────────────────────────────────────────────────────

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+DAY = "_event_day"
+
+
 def to_events(df: DataFrame, batch_id: str, event_time: Column | None = None) -> DataFrame:
     """Each record as one JSON text with the run's batch id and an event time; NULL fields are left out."""
     stamp = F.current_timestamp() if event_time is None else event_time
@@ -61,10 +64,44 @@ def stream_table(spark: SparkSession, folder: str, pattern: str, schema: T.Struc
     )
 
 
-def drop_redelivered(stream: DataFrame, keys: list[str], event_time: str = "event_time",
-                     within: str = "1 hour") -> DataFrame:
-    """Keep the first delivery of each event; state is dropped once it is older than `within`."""
-    return stream.withWatermark(event_time, within).dropDuplicatesWithinWatermark(keys)
+def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[str],
+                     event_time: str = "event_time") -> None:
+    """Drain everything available into a table that holds each event once, in whatever order events arrive.
+
+    A redelivered event has the time of the first delivery. So the rows of a micro-batch are
+    compared with the stored rows of the same event days only, which are read by partition;
+    nothing is ever too late. Every micro-batch is a slice of its own, and a replay writes the
+    slice anew.
+    """
+    spark = stream.sparkSession
+    schema = T.StructType([*stream.schema.fields, T.StructField(DAY, T.DateType()), T.StructField("mb", T.LongType())])
+
+    def store(rows: DataFrame, mb: int) -> None:
+        fresh = rows.dropDuplicates(keys).withColumn(DAY, F.to_date(event_time))
+        if mb:
+            fresh = fresh.persist()
+            days = [r[DAY] for r in fresh.select(DAY).distinct().collect()]  # calendar days
+            known = spark.read.schema(schema).parquet(path).where((F.col("mb") < mb) & _among(F.col(DAY), days))
+            fresh.join(known.select(*keys), keys, "left_anti").write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
+            fresh.unpersist()
+        else:
+            fresh.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
+
+    query = (
+        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def _among(day: Column, days: list) -> Column:
+    named = day.isin([d for d in days if d is not None])
+    return named | day.isNull() if None in days else named
+
+
+def read_deduplicated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The events of such a table."""
+    stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType()), T.StructField("mb", T.LongType())])
+    return spark.read.schema(stored).parquet(path).drop(DAY, "mb")
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:

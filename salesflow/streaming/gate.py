@@ -1,10 +1,15 @@
 """The quality gate on a stream.
 
-Records are numbered at the source (`seq`, dense within a source partition, such as a topic
-offset), so quality batches are fixed by the numbers and not by where micro-batches happen
-to end. Each micro-batch adds its rows to those still open, scores the batches that are
-complete, and carries the rest over. All of its outputs are slices keyed by the micro-batch
-id and a replay overwrites them with the same rows.
+Records are numbered at the source (`seq`, such as a topic offset), so quality batches are
+fixed by the numbers and neither by the order in which files arrive nor by where
+micro-batches end. Each micro-batch adds its rows to those still open, scores the batches all
+of whose numbers are there, and carries the rest over. Rows of a batch that has been scored
+already (the rest of one that was flushed, or a redelivery) bring its earlier rows back and
+the batch is scored again; readers see the newest score of each batch and its rows only.
+
+All outputs of a micro-batch are slices keyed by its id, and a replay overwrites them with
+the same rows. Spent slices of open rows are deleted, dimension slices are merged from time
+to time.
 """
 
 from __future__ import annotations
@@ -16,12 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow import schema as S
+from salesflow.operators.normalize import to_records
 from salesflow.operators.quality import dq_log, gate, score_batches
 from salesflow.operators.star import NATURAL_KEYS, load_fact, members_of, new_members
 from salesflow.sources.sinks import write_keyed
 
 BATCH = ["source_partition", "batch_no"]
-OUTPUTS = ["dq_log", "accepted", "rejects", "open", "progress"]
+#: Dimension slices that are read one by one before they are merged.
+MERGE_AFTER = 20
 
 
 def numbered(stream: DataFrame, seq: str = "seq", partition: str | None = None,
@@ -37,12 +44,22 @@ def numbered(stream: DataFrame, seq: str = "seq", partition: str | None = None,
 
 @dataclass
 class StreamGate:
-    """Gate whose tables live below `root`, a folder all executors reach."""
+    """Gate whose tables live below `root`, a folder all executors reach.
+
+    `seq` and `batch_size` are those the stream was numbered with. Columns in `transport` (offset,
+    partition, timestamp) do not tell two deliveries of one event apart. With `raw` the rows
+    are scored as they come and turned into typed sales records before they are loaded.
+    """
 
     spark: SparkSession
     root: str
     schema: T.StructType
     star: bool = False
+    seq: str = "seq"
+    batch_size: int = S.BATCH_SIZE
+    threshold: float = S.DQ_THRESHOLD
+    transport: tuple[str, ...] = ()
+    raw: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -60,32 +77,35 @@ class StreamGate:
             self.flush()
 
     def process(self, rows: DataFrame, mb: int) -> None:
-        """One micro-batch: score what is complete, carry the rest."""
-        pool = rows
+        """One micro-batch: score what is complete or was scored before, carry the rest."""
+        pool = rows.select(*self.schema.names)
         before = self._slices("open", mb, self.schema, only_last=True)
         if before is not None:
-            pool = rows.unionByName(before.select(*rows.columns))
+            pool = pool.unionByName(before)
+        scored = self._newest(below=mb)
+        if scored is not None:
+            again = scored.join(pool.select(*BATCH).distinct(), BATCH, "left_semi")
+            for table in ("accepted", "rejects"):
+                earlier = self._all(table, self.schema, mb).join(again, [*BATCH, "mb"], "left_semi")
+                pool = pool.unionByName(earlier.drop("mb"))
         pool = pool.persist()
-        seen = pool.groupBy("source_partition").agg(F.max("batch_no").alias("high"))
-        known = self._slices("progress", mb, "source_partition long, high long", only_last=True)
-        if known is not None:
-            seen = seen.unionByName(known.select("source_partition", "high"))
-        highs = seen.groupBy("source_partition").agg(F.max("high").alias("high")).persist()
-        highs.count()
-        placed = pool.join(highs, "source_partition")
-        done = placed.where(F.col("batch_no") < F.col("high")).drop("high").select(*pool.columns)
-        rest = placed.where(F.col("batch_no") >= F.col("high")).drop("high").select(*pool.columns)
-        self._emit(done, mb)
-        write_keyed(rest, self.path("open"), "mb", mb)
-        write_keyed(highs, self.path("progress"), "mb", mb)
-        highs.unpersist()
+        sizes = pool.groupBy(*BATCH).agg(F.count_distinct(self.seq).alias("numbers"))
+        complete = sizes.where(F.col("numbers") >= self.batch_size).select(*BATCH)
+        if scored is not None:
+            complete = complete.union(scored.select(*BATCH).join(sizes, BATCH, "left_semi")).distinct()
+        complete = complete.persist()
+        self._emit(pool.join(complete, BATCH, "left_semi"), mb)
+        write_keyed(pool.join(complete, BATCH, "left_anti"), self.path("open"), "mb", mb)
+        self._delete("open", sorted(k for k in self._keys("open") if k < mb)[:-1])
+        complete.unpersist()
         pool.unpersist()
 
     def flush(self) -> None:
         """Score the batches still open at the end of the input."""
-        last = self._last_mb()
-        if last is None:
+        keys = self._keys("open")
+        if not keys:
             return
+        last = int(max(keys))
         rest = self._slices("open", last + 1, self.schema, only_last=True).persist()
         rest.count()
         if not rest.isEmpty():
@@ -95,8 +115,10 @@ class StreamGate:
         rest.unpersist()
 
     def _emit(self, done: DataFrame, mb: int | str) -> None:
-        write_keyed(dq_log(score_batches(done, BATCH), BATCH), self.path("dq_log"), "mb", mb)
-        written = self.spark.read.parquet(f"{self.path('dq_log')}/mb={mb}")
+        scores = score_batches(done, BATCH, threshold=self.threshold, ignore=list(self.transport))
+        log = dq_log(scores, BATCH).withColumn("checked_at", F.current_timestamp())
+        write_keyed(log, self.path("dq_log"), "mb", mb)
+        written = self.spark.read.schema(log.schema).parquet(f"{self.path('dq_log')}/mb={mb}")
         accepted, rejected = gate(done, written, BATCH)
         write_keyed(accepted, self.path("accepted"), "mb", mb)
         write_keyed(rejected, self.path("rejects"), "mb", mb)
@@ -106,39 +128,83 @@ class StreamGate:
     def _load_star(self, mb: int | str) -> None:
         """Add the new dimension members and the facts of one slice."""
         rows = self.spark.read.schema(self.schema).parquet(f"{self.path('accepted')}/mb={mb}")
+        if self.raw:
+            rows = to_records(rows)
         dims = {}
         for name in NATURAL_KEYS:
-            existing = self._slices(f"dim_{name}", mb)
+            existing = self._dimension(name, mb)
             fresh = new_members(name, members_of(rows, name), existing)
             write_keyed(fresh, self.path(f"dim_{name}"), "mb", mb)
             added = self.spark.read.schema(fresh.schema).parquet(f"{self.path(f'dim_{name}')}/mb={mb}")
             dims[name] = added if existing is None else existing.select(*added.columns).unionByName(added)
-        write_keyed(load_fact(rows, dims), self.path("fact"), "mb", mb, partition_by=["mois"])
+            self._merge(name, dims[name], mb)
+        write_keyed(load_fact(rows, dims, keep=BATCH), self.path("fact"), "mb", mb, partition_by=["mois"])
 
     def table(self, name: str) -> DataFrame:
-        """An output table over all slices."""
-        return self.spark.read.parquet(self.path(name)).drop("mb")
-
-    def _last_mb(self) -> int | None:
-        keys = self._keys("progress")
-        return int(max(keys)) if keys else None
+        """An output table: of batches scored more than once the newest rows."""
+        if name.startswith("dim_"):
+            return self._dimension(name.removeprefix("dim_"), float("inf"))
+        stored = self.spark.read.parquet(self.path(name)).withColumn("mb", F.col("mb").cast("double"))
+        return stored.join(self._newest(), [*BATCH, "mb"], "left_semi").drop("mb")
+
+    def _newest(self, below: float = float("inf")) -> DataFrame | None:
+        """The last micro-batch that scored each batch; None if there was none."""
+        if not any(k < below for k in self._keys("dq_log")):
+            return None
+        log = self._all("dq_log", T.StructType([T.StructField(c, T.LongType()) for c in BATCH]), below)
+        return log.groupBy(*BATCH).agg(F.max("mb").alias("mb"))
+
+    def _all(self, table: str, schema: T.StructType, below: float) -> DataFrame:
+        """All slices of a table below a key, with the key."""
+        keyed = T.StructType([*schema.fields, T.StructField("mb", T.DoubleType())])
+        return self.spark.read.schema(keyed).parquet(self.path(table)).where(F.col("mb") < below)
+
+    def _dimension(self, name: str, below: int | str | float) -> DataFrame | None:
+        """The members known before a slice: the last merged table and the slices after it."""
+        merged = max((k for k in self._keys(f"merged_{name}") if k < float(below)), default=None)
+        after = self._slices(f"dim_{name}", below, above=merged)
+        if merged is None:
+            return after
+        whole = self.spark.read.parquet(f"{self.path(f'merged_{name}')}/mb={_text(merged)}")
+        return whole if after is None else whole.unionByName(after.select(*whole.columns))
+
+    def _merge(self, name: str, members: DataFrame, mb: int | str) -> None:
+        """Write a dimension as one table once it has many slices, and delete what only older ones need."""
+        merged = sorted(k for k in self._keys(f"merged_{name}") if k < float(mb))
+        since = [k for k in self._keys(f"dim_{name}") if not merged or k > merged[-1]]
+        if len(since) >= MERGE_AFTER:
+            write_keyed(members, self.path(f"merged_{name}"), "mb", mb)
+            if merged:
+                self._delete(f"dim_{name}", [k for k in self._keys(f"dim_{name}") if k <= merged[-1]])
+                self._delete(f"merged_{name}", merged[:-1])
+
+    def _folder(self, table: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def _keys(self, table: str) -> list[float]:
         """Keys of the slices written so far, from the folder names."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(table))
-        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        path, fs = self._folder(table)
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
         return [float(n.removeprefix("mb=")) for n in names if n.startswith("mb=")]
 
-    def _slices(self, table: str, below: int | str, schema=None, only_last: bool = False) -> DataFrame | None:
+    def _delete(self, table: str, keys: list[float]) -> None:
+        path, fs = self._folder(table)
+        for k in keys:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(path, f"mb={_text(k)}"), True)
+
+    def _slices(self, table: str, below: int | str | float, schema=None, only_last: bool = False,
+                above: float | None = None) -> DataFrame | None:
         """Slices with a key below the given one; with `only_last` the newest of them."""
-        keys = sorted(k for k in self._keys(table) if k < float(below))
+        keys = sorted(k for k in self._keys(table) if k < float(below) and (above is None or k > above))
         if not keys:
             return None
-        keys = keys[-1:] if only_last else keys
-        paths = [f"{self.path(table)}/mb={int(k) if k.is_integer() else k}" for k in keys]
+        paths = [f"{self.path(table)}/mb={_text(k)}" for k in (keys[-1:] if only_last else keys)]
         reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
         return reader.parquet(*paths)
+
+
+def _text(key: float) -> str:
+    return str(int(key) if key.is_integer() else key)

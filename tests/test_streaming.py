@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salesflow.operators import quality as Q
@@ -52,7 +53,7 @@ def same(a, b):
 
 
 def comparable(log):
-    return log.withColumn("details", F.to_json("details"))
+    return log.withColumn("details", F.to_json("details")).drop("checked_at")
 
 
 def test_stream_equals_batch(spark, events, expected, tmp_path):
@@ -60,7 +61,9 @@ def test_stream_equals_batch(spark, events, expected, tmp_path):
     gate, stream = gate_on(spark, str(tmp_path / "out"), str(tmp_path / "in"), events.schema)
     gate.run(stream)
     rows, log, (passed, rejected) = expected
-    assert len(os.listdir(tmp_path / "out" / "open")) == 7  # one micro-batch per file
+    slices = lambda table: sorted(os.listdir(tmp_path / "out" / table))
+    assert [f"mb={i}" for i in range(7)] == [x for x in slices("dq_log") if "." not in x]  # one micro-batch per file
+    assert slices("open") == ["mb=5", "mb=6"]  # spent ones are deleted
     assert gate.table("dq_log").count() == 100
     assert same(comparable(gate.table("dq_log")), comparable(log))
     assert same(gate.table("accepted"), passed)
@@ -80,6 +83,55 @@ def test_replay_changes_nothing(spark, events, expected, tmp_path):
     assert same(gate.table("accepted"), expected[2][0])
 
 
+def test_any_order_gives_each_batch_once(spark, events, expected, tmp_path):
+    gate = StreamGate(spark, str(tmp_path), numbered(TT.event_sales(events)).schema)
+    rows = expected[0]
+    for mb, part in enumerate(["seq >= 4500", "seq < 450", "seq >= 450 and seq < 2000", "seq >= 2000 and seq < 4500"]):
+        gate.process(rows.where(part), mb)
+    gate.flush()
+    assert gate.table("dq_log").count() == 100
+    assert same(comparable(gate.table("dq_log")), comparable(expected[1]))
+    assert same(gate.table("accepted"), expected[2][0])
+
+
+def test_late_rows_score_their_batch_anew(spark, events, tmp_path):
+    rows = numbered(TT.event_sales(events)).where("seq < 300")
+    gate = StreamGate(spark, str(tmp_path), rows.schema)
+    gate.process(rows.where("seq < 120"), 0)
+    gate.flush()
+    assert sorted(r.total_rows for r in gate.table("dq_log").collect()) == [20, 100]
+    gate.process(rows.where("seq >= 120"), 1)
+    gate.process(rows.where("seq >= 120"), 1)
+    gate.process(rows.where("seq = 7"), 2)  # delivered again
+    gate.flush()
+    assert sorted(r.total_rows for r in gate.table("dq_log").collect()) == [100, 100, 101]
+    assert gate.table("accepted").count() + gate.table("rejects").count() == 301
+
+
+def test_a_new_offset_is_no_new_event(spark, events, tmp_path):
+    rows = numbered(TT.event_sales(events).withColumn("offset", F.col("seq")), "offset").where("offset < 100")
+    again = rows.where("seq < 10").withColumn("offset", F.col("seq") + 90).where("offset < 100")
+    gate = StreamGate(spark, str(tmp_path), rows.schema, seq="offset", transport=("offset",))
+    gate.process(rows.where("offset < 90").unionByName(again), 0)
+    assert gate.table("dq_log").first()["details"]["no_duplicate_rows"] == 90.0
+
+
+def test_merged_dimensions_keep_their_ids(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr("salesflow.streaming.gate.MERGE_AFTER", 2)
+    records = TT.sales_feed(spark, small).withColumn("seq", F.dense_rank().over(Window.orderBy(*TT.FEED_KEYS)) - 1)
+    rows = numbered(records.drop("batch_no")).persist()
+    gate = StreamGate(spark, str(tmp_path), rows.schema, star=True)
+    for mb in range(5):
+        part = rows.where(f"seq >= {mb * 200} and seq < {mb * 200 + 200}")
+        gate.process(part, mb)
+        gate.process(part, mb)
+    retailer = gate.table("dim_retailer")
+    assert any(n.startswith("mb=") for n in os.listdir(tmp_path / "merged_retailer"))
+    assert retailer.count() == retailer.select("retailer_id").distinct().count()
+    assert same(retailer.select("retailer_name"), rows.where("seq < 1000").select(F.col("retailer").alias("retailer_name")).distinct())
+    assert gate.table("fact").where("retailer_id is null").count() == 0
+
+
 def test_partial_batch_waits_for_the_flush(spark, events, tmp_path):
     gate = StreamGate(spark, str(tmp_path), numbered(TT.event_sales(events)).schema)
     rows = numbered(TT.event_sales(events)).where("seq < 237")
@@ -93,7 +145,7 @@ def test_source_partitions_are_batched_apart(spark, events, tmp_path):
     records = TT.event_sales(events).where("seq < 1000")
     split = records.withColumn("part", F.col("seq") % 2).withColumn("offset", F.floor(F.col("seq") / 2))
     rows = numbered(split, "offset", "part")
-    gate = StreamGate(spark, str(tmp_path), rows.schema)
+    gate = StreamGate(spark, str(tmp_path), rows.schema, seq="offset")
     gate.process(rows.where("seq < 333"), 0)
     gate.process(rows.where("seq >= 333"), 1)
     gate.flush()
@@ -139,10 +191,11 @@ def test_nan_text_in_events_becomes_null(spark):
 
 
 def test_redelivered_events_are_dropped_across_micro_batches(spark, events, tmp_path):
-    folder = str(tmp_path / "in")
-    write_parts(events.where("event_id < 600"), folder, parts=3)
-    write_parts(events.where("event_id >= 550 and event_id < 600"), folder, parts=1, start=3)
+    """The newest files come first; nothing is lost, whatever its time."""
+    folder, rows = str(tmp_path / "in"), events.where("event_id < 600")
+    for part in ("event_id >= 450", "event_id >= 300 and event_id < 450", "event_id < 300", "event_id >= 250 and event_id < 350"):
+        rows.where(part).coalesce(1).write.mode("append").parquet(folder)
     stream = TT.event_sales(EV.stream_table(spark, folder, "*.parquet", events.schema, files_per_trigger=1))
-    EV.run_to_table(EV.drop_redelivered(stream, ["seq"], within="30 days"), str(tmp_path / "out"), str(tmp_path / "ck"))
-    out = spark.read.parquet(str(tmp_path / "out"))
-    assert out.count() == out.select("seq").distinct().count() == 600
+    EV.run_deduplicated(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["seq"])
+    out = EV.read_deduplicated(spark, str(tmp_path / "out"), stream.schema)
+    assert same(out, TT.event_sales(rows))
