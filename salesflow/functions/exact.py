@@ -15,8 +15,8 @@ def mean(total: Column, n: Column) -> Column:
 
 
 def rounded_mean(total: Column, n: Column, scale: int) -> Column:
-    """total / n rounded half away from zero to `scale` digits, exact for decimal sums of that scale."""
-    twice = (F.abs(total) * F.lit(2 * 10**scale)).cast(WHOLE) + n.cast(WHOLE)
+    """total / n rounded half away from zero to `scale` digits, exact for decimal sums."""
+    twice = F.floor(F.abs(total) * F.lit(2 * 10**scale)).cast(WHOLE) + n.cast(WHOLE)
     steps = F.call_function("div", twice, F.nullif(n * 2, F.lit(0)).cast(WHOLE))
     signed = F.when(total < 0, -steps).otherwise(steps)
     return (signed.cast(T.DecimalType(20, 0)) / F.lit(10**scale)).cast(T.DecimalType(20, scale))

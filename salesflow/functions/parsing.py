@@ -56,7 +56,8 @@ def to_date(value: Column) -> Column:
 
 def to_date_or(value: Column, fallback: str = S.FALLBACK_DATE) -> Column:
     """Any readable date, else the fallback date."""
-    return F.coalesce(to_date(value), value.try_cast("date"), F.lit(fallback).cast("date"))
+    free = [F.try_to_date(value, f) for f in S.FREE_DATE_FORMATS]
+    return F.coalesce(to_date(value), value.try_cast("date"), *free, F.lit(fallback).cast("date"))
 
 
 def month_key(day: Column) -> Column:

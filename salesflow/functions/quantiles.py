@@ -1,9 +1,10 @@
-"""Exact quantiles of decimal or whole-number columns, at any scale.
+"""Exact quantiles of number columns, at any scale.
 
-The value histogram is searched by digits of 16 bits, most significant first. Each round
-counts at most 65,536 buckets per searched rank and hands a few bucket numbers to the
-driver, so neither a task nor the driver ever holds the values of a column, however many
-distinct ones there are.
+The value histogram of a decimal or whole-number column is searched by digits of 16 bits, most
+significant first. That of a double column is searched by ever narrower ranges, each cut into
+4,096 parts, down to a single value. Each round counts a bounded number of buckets per
+searched rank and hands a few of them to the driver, so neither a task nor the driver ever
+holds the values of a column, however many distinct ones there are.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGIT_BITS = 16
+PARTS = 4096
 WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 # Searched ranks map to (bits found so far, rank inside that bucket).
@@ -40,7 +42,7 @@ class Histogram:
 def histogram(df: DataFrame, columns: list[str]) -> Histogram:
     """Joint histogram, pre-aggregated before its shuffle and held for the search rounds."""
     counts = df.groupBy(*columns).agg(F.count("*").alias("_rows")).persist()
-    whole = {c: _whole(counts, c) for c in columns}
+    whole = {c: F.col(c) if _is_double(df, c) else _whole(counts, c) for c in columns}
     ends = counts.agg(
         *[F.min(v).alias(f"low_{c}") for c, v in whole.items()],
         *[F.max(v).alias(f"high_{c}") for c, v in whole.items()],
@@ -50,6 +52,8 @@ def histogram(df: DataFrame, columns: list[str]) -> Histogram:
 
 def exact_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[float] | None:
     """Linearly interpolated quantiles of a histogram column, NULL values aside; None without rows."""
+    if _is_double(hist.counts, column):
+        return _double_quantiles(hist, column, probs)
     low, high = hist.ranges[column]
     rounds = max(1, math.ceil((high - low).bit_length() / DIGIT_BITS))
     offset = _whole(hist.counts, column) - F.lit(low)
@@ -62,6 +66,10 @@ def exact_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[fl
         found = _next_digit(values, found, level * DIGIT_BITS)
     unit = 10 ** _scale(hist.counts.schema[column].dataType)
     at = {rank: (bits + low) / unit for rank, (bits, _) in found.items()}
+    return _interpolated(at, total, probs)
+
+
+def _interpolated(at: dict[int, float], total: int, probs: list[float]) -> list[float]:
     quantiles = []
     for place in (p * (total - 1) for p in probs):
         below, above = at[math.floor(place)], at[math.ceil(place)]
@@ -69,6 +77,54 @@ def exact_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[fl
     return quantiles
 
 
+def _is_double(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+
+
+def _double_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[float] | None:
+    """Quantiles of doubles; NaN counts as missing.
+
+    A searched rank has a range of values and a rank inside it. Every round counts the parts of
+    all ranges at once and goes on with the values found in the right part, until low and high agree.
+    """
+    value = F.col(column).cast("double")
+    values = hist.counts.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("_v"), "_rows")
+    ends = values.agg(F.sum("_rows").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).first()
+    if not ends["n"]:
+        return None
+    total = ends["n"]
+    ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+    found = {r: (ends["low"], ends["high"], r) for r in ranks}
+    while any(low < high for low, high, _ in found.values()):
+        open_ranges = sorted({(low, high) for low, high, _ in found.values() if low < high})
+        parts = [_part(low, high).alias(f"_p{i}") for i, (low, high) in enumerate(open_ranges)]
+        placed = values.select("_v", "_rows", F.posexplode(F.array(*parts)).alias("_range", "_part")).where("_part IS NOT NULL")
+        counted = placed.groupBy("_range", "_part").agg(
+            F.sum("_rows").alias("_n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
+        order = Window.partitionBy("_range").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+        hit = F.lit(False)
+        for low, high, rank in set(found.values()):
+            if low < high:
+                inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
+                hit = hit | (inside & (F.col("_range") == open_ranges.index((low, high))))
+        rows = counted.withColumn("_upto", F.sum("_n").over(order)).where(hit).collect()  # one per rank at most
+        for wanted, (low, high, rank) in found.items():
+            if low < high:
+                here = open_ranges.index((low, high))
+                row = next(r for r in rows if r["_range"] == here and r["_upto"] - r["_n"] <= rank < r["_upto"])
+                found[wanted] = (row["low"], row["high"], rank - (row["_upto"] - row["_n"]))
+    return _interpolated({r: low for r, (low, _, _) in found.items()}, total, probs)
+
+
+def _part(low: float, high: float) -> Column:
+    """The part of a range that a value is in, NULL outside; the last part holds the upper end alone."""
+    width = high / 2 - low / 2  # halves, as the difference may overflow
+    inner = F.lit(0)
+    if width > 0:
+        inner = F.least(F.floor((F.col("_v") / 2 - low / 2) / width * PARTS), F.lit(PARTS - 1)).cast("int")
+    return F.when(F.col("_v") == high, PARTS).when(F.col("_v").between(low, high), inner)
+
+
 def _scale(dtype: T.DataType) -> int:
     if isinstance(dtype, T.DecimalType) and dtype.precision <= 18:
         return dtype.scale

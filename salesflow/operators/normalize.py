@@ -40,7 +40,7 @@ def by_role(df: DataFrame, required: tuple[str, ...] = ()) -> DataFrame:
     return df.select(*[P.quoted(c).alias(role) for role, c in detect_roles(df.columns, required).items()])
 
 
-def cast_numbers(df: DataFrame, columns: list[str], dtype=S.MONEY) -> DataFrame:
+def cast_numbers(df: DataFrame, columns: list[str], dtype=S.AMOUNT) -> DataFrame:
     return df.withColumns({c: P.to_number(P.quoted(c), dtype) for c in columns})
 
 

@@ -1,8 +1,9 @@
 """Data-quality scores of record batches and of whole datasets.
 
-Both scorers first merge equal rows into one row with a number of copies. That merge
-pre-aggregates before its shuffle and spreads a batch over as many tasks as it has distinct
-rows, so a batch may be of any size; every rule is then a plain weighted sum.
+A row is first reduced to its batch, a flag or two per rule, and a 128-bit digest of its
+fields; only those are shuffled. Equal ones are merged into one row with a number of copies.
+That merge pre-aggregates before its shuffle and spreads a batch over as many tasks as it has
+distinct rows, so a batch may be of any size; every rule is then a plain weighted sum.
 """
 
 from __future__ import annotations
@@ -18,11 +19,14 @@ from salesflow.functions.exact import percent, round_binary
 from salesflow.functions.parsing import nan_to_null, quoted, to_number
 
 COPIES = "_copies"
+DIGEST = "_digest"
 
 
 # ── batch rules ──────────────────────────────────────────────────────────────
-# A rule turns the schema into the share of good rows, or None where it cannot be applied.
-Rule = Callable[[T.StructType], Column | None]
+# A rule turns the schema into flags of a row and the share of good rows as an aggregate of
+# these flags and the copies, or into None where it cannot be applied.
+Flags = dict[str, Column]
+Rule = Callable[[T.StructType], tuple[Flags, Callable[[dict[str, Column]], Column]] | None]
 
 
 def _good_rows(good: Column) -> Column:
@@ -30,10 +34,10 @@ def _good_rows(good: Column) -> Column:
 
 
 def not_null(column: str) -> Rule:
-    def rule(schema: T.StructType) -> Column | None:
+    def rule(schema: T.StructType):
         if column not in schema.names:
             return None
-        return percent(_good_rows(quoted(column).isNotNull()), F.sum(COPIES))
+        return {"good": quoted(column).isNotNull()}, lambda flag: percent(_good_rows(flag["good"]), F.sum(COPIES))
 
     return rule
 
@@ -41,30 +45,36 @@ def not_null(column: str) -> Rule:
 def not_negative(column: str) -> Rule:
     """Missing values count as good; a batch with unreadable text in the column scores 0."""
 
-    def rule(schema: T.StructType) -> Column | None:
+    def rule(schema: T.StructType):
         if column not in schema.names:
             return None
         value = quoted(column)
-        score = percent(_good_rows(F.coalesce(value >= 0, F.lit(True))), F.sum(COPIES))
-        if not isinstance(schema[column].dataType, T.StringType):
-            return score
-        number = to_number(value, T.DoubleType())
-        score = percent(_good_rows(F.coalesce(number >= 0, F.lit(True))), F.sum(COPIES))
-        return F.when(F.max(value.isNotNull() & number.isNull()), 0.0).otherwise(score)
+        text = isinstance(schema[column].dataType, T.StringType)
+        number = to_number(value, T.DoubleType()) if text else value
+        flags = {"good": F.coalesce(number >= 0, F.lit(True))}
+        if text:
+            flags["unreadable"] = value.isNotNull() & number.isNull()
+
+        def score(flag: dict[str, Column]) -> Column:
+            share = percent(_good_rows(flag["good"]), F.sum(COPIES))
+            return F.when(F.max(flag["unreadable"]), 0.0).otherwise(share) if text else share
+
+        return flags, score
 
     return rule
 
 
 def no_duplicates() -> Rule:
-    """The first of equal rows is good, the others are not."""
+    """Share of rows that are not copies of an earlier one; needs rows merged by all their fields."""
 
-    def rule(schema: T.StructType) -> Column:
+    def rule(schema: T.StructType):
         repeated = (F.sum(COPIES) - F.count("*")) / F.sum(COPIES)
-        return round_binary((1 - repeated) * 100, 2)
+        return {}, lambda flag: round_binary((1 - repeated) * 100, 2)
 
     return rule
 
 
+# Names of the rules.
 RULES: dict[str, Rule] = {
     "no_null_units_sold": not_null("units_sold"),
     "no_null_total_sales": not_null("total_sales"),
@@ -75,8 +85,10 @@ RULES: dict[str, Rule] = {
 }
 
 
-def with_copies(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.groupBy(*[quoted(c) for c in columns]).agg(F.count("*").alias(COPIES))
+def digest(columns: list[str]) -> Column:
+    """128 bits of the fields of a row; missing fields are told apart from their neighbours."""
+    fields = [quoted(c) for c in columns] + [quoted(c).isNull() for c in columns]
+    return F.struct(F.xxhash64(*fields).alias("a"), F.xxhash64(F.lit(1), *fields).alias("b"))
 
 
 def score_batches(
@@ -111,15 +123,18 @@ def score_batches(
 
 
 def _rule_scores(rows: DataFrame, batch: list[str], rules: dict[str, Rule], columns: list[str]) -> DataFrame:
-    measures = []
-    for name, rule in rules.items():
-        score = rule(rows.schema)
-        measures.append((F.lit(0.0) if score is None else score).alias(name))
-    return (
-        with_copies(rows, columns)
-        .groupBy(*batch)
-        .agg(F.sum(COPIES).alias("total_rows"), *measures)
-    )
+    flags, measures = {}, []
+    for i, (name, rule) in enumerate(rules.items()):
+        found = rule(rows.schema)
+        if found is None:
+            measures.append(F.lit(0.0).alias(name))
+            continue
+        own, score = found
+        flags |= {f"_flag_{i}_{k}": c for k, c in own.items()}
+        measures.append(score({k: F.col(f"_flag_{i}_{k}") for k in own}).alias(name))
+    narrow = rows.select(*batch, digest(columns).alias(DIGEST), *[c.alias(n) for n, c in flags.items()])
+    merged = narrow.groupBy(*narrow.columns).agg(F.count("*").alias(COPIES))
+    return merged.groupBy(*batch).agg(F.sum(COPIES).alias("total_rows"), *measures)
 
 
 def dq_log(scores: DataFrame, batch: list[str] | str = "batch_no", source: str = "ventes",
@@ -167,10 +182,11 @@ def guarded_columns(schema: T.StructType) -> list[str]:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """Everything the dataset checks need, in one row from one pass.
+    """Everything the dataset checks need, in one row.
 
     Columns: rows, empty_rows, distinct_rows, nulls (map by column) and negatives (map by
-    guarded column).
+    guarded column). Counts come from one pass without a shuffle of rows; the distinct rows are
+    counted apart, from digests, and not at all where nobody reads them.
     """
     rows = nan_to_null(df)
     columns, guarded = rows.columns, guarded_columns(df.schema)
@@ -178,20 +194,18 @@ def profile(df: DataFrame) -> DataFrame:
     for c in columns:
         empty = empty & quoted(c).isNull()
 
-    def counted(condition: Column) -> Column:
-        return F.coalesce(_good_rows(condition), F.lit(0))
-
     def by_name(names: list[str], condition: Callable[[str], Column]) -> Column:
         keys = F.array(*[F.lit(c) for c in names]).cast("array<string>")
-        return F.map_from_arrays(keys, F.array(*[counted(condition(c)) for c in names]).cast("array<bigint>"))
+        return F.map_from_arrays(keys, F.array(*[F.count_if(condition(c)) for c in names]).cast("array<bigint>"))
 
-    return with_copies(rows, columns).agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("rows"),
-        counted(empty).alias("empty_rows"),
-        F.count("*").alias("distinct_rows"),
+    distinct = rows.select(digest(columns).alias(DIGEST)).distinct().agg(F.count("*").alias("n")).scalar()
+    counted = rows.agg(
+        F.count("*").alias("rows"),
+        F.count_if(empty).alias("empty_rows"),
         by_name(columns, lambda c: quoted(c).isNull()).alias("nulls"),
         by_name(guarded, lambda c: quoted(c) < 0).alias("negatives"),
     )
+    return counted.select("rows", "empty_rows", distinct.alias("distinct_rows"), "nulls", "negatives")
 
 
 def null_rates(profiled: DataFrame) -> DataFrame:

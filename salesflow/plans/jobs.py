@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesflow import schema as S
 from salesflow.functions import parsing as P
 from salesflow.operators import clean as C
 from salesflow.operators import kpis as K
@@ -41,16 +42,17 @@ class FileTables:
 def file_tables(df: DataFrame, exact: bool = False) -> FileTables:
     """Roles, cleaning, months and the two KPI tables of one sales file.
 
-    `clean` keeps all columns of the file; sales and units are numbers in it.
+    `clean` keeps all columns of the file; sales and units are doubles in it, and are summed
+    as decimals, so that the order of the rows does not matter.
     """
     roles = detect_roles(df.columns, ("region", "date", "sales", "units"))
     sales, units, region = roles["sales"], roles["units"], roles["region"]
-    typed = df.withColumns({c: P.to_number(P.quoted(c)) for c in (sales, units)})
+    typed = df.withColumns({c: P.to_number(P.quoted(c), S.AMOUNT) for c in (sales, units)})
     rows = C.drop_incomplete(P.nan_to_null(typed), [sales, region, units])
     rows = C.dedupe(C.non_negative(rows, [sales, units]))
     kept = C.iqr_filter(checkpointed(rows), [sales], 1.5) if exact else C.iqr_filter_approx(rows, sales)
     dated = add_month(kept, roles["date"])
-    flat = dated.select(P.quoted(region).alias("region"), P.quoted(sales).alias("sales"), "mois")
+    flat = dated.select(P.quoted(region).alias("region"), P.quoted(sales).try_cast(S.SUMMED).alias("sales"), "mois")
     return FileTables(drop_columns(dated, "_date_parsed", "mois"), K.kpi_region_month(flat), K.kpi_trend(flat))
 
 
@@ -78,7 +80,7 @@ def run_file_job(df: DataFrame, root: str) -> None:
     stored = read_table(spark, f"{root}/fait_ventes_clean")
     name = {r: c.lower().replace(" ", "_") for r, c in roles.items()}
     flat = add_month(stored, name["date"]).select(
-        P.quoted(name["region"]).alias("region"), P.quoted(name["sales"]).alias("sales"), "mois"
+        P.quoted(name["region"]).alias("region"), P.quoted(name["sales"]).try_cast(S.SUMMED).alias("sales"), "mois"
     )
     export_table(stamped(K.kpi_region_month(flat)), f"{root}/kpi_ventes_region")
     export_table(stamped(K.kpi_trend(flat)), f"{root}/kpi_tendance_temporelle")
@@ -101,10 +103,18 @@ def run_dataset_gate(df: DataFrame, root: str, run: str) -> bool:
     return read_table(df.sparkSession, f"{root}/dq_reports/run={run}").first()["passed"]
 
 
-def run_stream_job(stream: DataFrame, root: str, trees: int = 100) -> None:
-    """Gate and load all available events; the analytics start once the load has come to its end."""
-    numbered_stream = numbered(stream)
-    gate = StreamGate(stream.sparkSession, root, numbered_stream.schema, star=True)
+def run_stream_job(stream: DataFrame, root: str, trees: int = 100, seq: str = "seq", partition: str | None = None,
+                   batch_size: int = S.BATCH_SIZE, threshold: float = S.DQ_THRESHOLD, transport: tuple[str, ...] = (),
+                   raw: bool = False) -> None:
+    """Gate and load all available events; the analytics start once the load has come to its end.
+
+    `seq` and `partition` name the columns that number the events (offset and partition of a
+    topic); `transport` those that may differ between two deliveries of one event. With `raw`
+    the events carry texts, which are scored as they are and typed before the load.
+    """
+    numbered_stream = numbered(stream, seq, partition, batch_size)
+    gate = StreamGate(stream.sparkSession, root, numbered_stream.schema, star=True, seq=seq, batch_size=batch_size,
+                      threshold=threshold, transport=transport, raw=raw)
     gate.run(numbered_stream)
     run_analytics_job(stream_star(gate), root, trees)
 
@@ -112,8 +122,8 @@ def run_stream_job(stream: DataFrame, root: str, trees: int = 100) -> None:
 def run_analytics_job(star: Star, root: str, trees: int = 100) -> None:
     """KPIs, forecasts and segments from a stored star; the cleaned rows are stored once and read thrice."""
     spark = star.fact.sparkSession
-    joined = star_join(star)
-    replace_table(C.clean_sales(joined, distinct=False), f"{root}/ventes_clean")
+    kept = C.clean_facts(star.fact)  # by ids, so that only what is kept meets the names
+    replace_table(star_join(Star(kept, star.region, star.produit, star.retailer)), f"{root}/ventes_clean")
     rows = read_table(spark, f"{root}/ventes_clean")
     replace_table(stamped(kpi_table(K.kpi_monthly(rows))), f"{root}/kpis_agreg")
     forecasts = forecast_sales(rows, rows.columns, trees=trees)
@@ -123,7 +133,7 @@ def run_analytics_job(star: Star, root: str, trees: int = 100) -> None:
 
 def kpi_table(kpis: DataFrame) -> DataFrame:
     """Monthly KPIs under the stored types."""
-    money = {c: F.col(c).cast("decimal(14,2)") for c in ("ca_total", "profit_total", "unites_total")}
+    money = {c: F.col(c).cast("decimal(24,2)") for c in ("ca_total", "profit_total", "unites_total")}
     return kpis.select(
         "mois", "region", "product",
         *[e.alias(c) for c, e in money.items()],

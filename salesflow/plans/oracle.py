@@ -53,6 +53,14 @@ parsed AS (
          try_cast(units_sold AS decimal(14,2)) AS units, try_cast(total_sales AS decimal(14,2)) AS sales
   FROM raw)"""
 
+WIDE = TEXT + """,
+wide AS (
+  SELECT * EXCLUDE (units, sales), try_cast(units_sold AS double) AS units, try_cast(CASE
+    WHEN o_orderkey % 499 = 5 THEN '20000000000000.125'
+    WHEN contains(total_sales, '.') THEN total_sales || (o_orderkey % 10)
+    ELSE total_sales END AS double) AS sales FROM parsed),
+wide_ok AS (SELECT DISTINCT * FROM wide WHERE sales >= 0 AND units >= 0 AND region IS NOT NULL)"""
+
 KEYS = "o_orderkey, l_linenumber, l_partkey, l_suppkey"
 TEXTS = "batch_no, date_vente, region, product, beverage_brand, retailer"
 AMOUNTS = """cast(units_sold AS double) AS units_sold, cast(total_sales AS double) AS total_sales,
@@ -263,6 +271,17 @@ ORACLE: dict[str, str] = {
         {fenced('kept', 'ok', 'sales', 1.5)}
         SELECT {KEYS}, retailer AS _retailer_, invoice_date, region, beverage_brand, product,
           cast(units AS double) AS units_sold, cast(sales AS double) AS total_sales, operating_margin FROM kept""",
+    "csv_quoted": f"""WITH {FEED} SELECT {KEYS}, cast(total_sales AS double) AS total_sales,
+        CASE WHEN l_linenumber % 3 = 0 THEN 'The "' || retailer || '", Ltd'
+             ELSE retailer || chr(10) || 'branch ' || l_linenumber END AS retailer FROM feed""",
+    "file_export_wide": f"""WITH {WIDE}, {fenced('kept', 'wide_ok', 'sales', 1.5)}
+        SELECT {KEYS}, units AS units_sold, sales AS total_sales FROM kept""",
+    "file_region_wide": f"""WITH {WIDE}, {fenced('kept', 'wide_ok', 'sales', 1.5)},
+        f AS (SELECT region, cast(sales AS decimal(38,6)) AS sales, strftime(date_parsed, '%Y-%m') AS mois FROM kept)
+        SELECT region, mois, cast(round(sum(sales), 2) AS double) AS total_sales,
+          cast((2 * cast(sum(sales) * 1000000 AS hugeint) + 10000 * count(*)) // (20000 * count(*)) AS double) / 100 AS avg_sales,
+          count(*) AS count_transactions, cast(round(min(sales), 2) AS double) AS min_sales,
+          cast(round(max(sales), 2) AS double) AS max_sales FROM f GROUP BY region, mois""",
     "fact_load": f"""WITH {DIRTY}, r AS ({REGION_IDS}), p AS ({PRODUCT_IDS}), c AS ({RETAILER_IDS})
         SELECT {KEYS}, date_vente, r.id AS region_id, p.id AS produit_id, c.id AS retailer_id, {AMOUNTS},
           100 AS dq_score, {MONTH} AS mois
@@ -271,6 +290,7 @@ ORACLE: dict[str, str] = {
     "dq_log": f"{SCORED} {LOG}",
     "numeric_cast": f"""WITH {TEXT} SELECT {KEYS}, cast(units AS double) AS units_sold,
         cast(sales AS double) AS total_sales FROM parsed""",
+    "numeric_cast_wide": f"WITH {WIDE} SELECT {KEYS}, units AS units_sold, sales AS total_sales FROM wide",
     "percent_parse": f"""WITH {TEXT} SELECT {KEYS},
         cast(cast(cast(replace(operating_margin, '%', '') AS decimal(12,6)) / 100 AS decimal(6,4)) AS double)
           AS operating_margin FROM raw""",

@@ -57,6 +57,17 @@ def csv_scan(spark, sf_dir):
     return comparable(readers.read_csv(spark, path, feed.schema))
 
 
+@query
+def csv_quoted(spark, sf_dir):
+    """Names with quotes, commas and line breaks, in a file whose columns have another order."""
+    feed = TT.sales_feed(spark, sf_dir).select(*KEYS, "total_sales", "retailer")
+    odd = F.when(F.col("l_linenumber") % 3 == 0, F.concat(F.lit('The "'), "retailer", F.lit('", Ltd')))
+    named = feed.withColumn("retailer", F.coalesce(odd, F.concat("retailer", F.lit("\nbranch "), F.col("l_linenumber"))))
+    path = new_dir(spark, "quoted-csv")
+    named.select(*reversed(named.columns)).write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return comparable(readers.read_csv(spark, path, named.schema, multiline=True))
+
+
 @query
 def header_normalize(spark, sf_dir):
     return N.normalize_headers(TT.text_feed(spark, sf_dir))
@@ -91,6 +102,20 @@ def clean_export(spark, sf_dir):
     return comparable(readers.read_table(spark, path))
 
 
+@query
+def file_export_wide(spark, sf_dir):
+    """Sales of three decimals, and some beyond any money column, kept as they are."""
+    feed = TT.wide_feed(spark, sf_dir)
+    path = new_dir(spark, "export-wide")
+    sinks.export_table(jobs.file_tables(feed, exact=True).clean, path)
+    return readers.read_table(spark, path).select(*KEYS, "units_sold", "total_sales")
+
+
+@query
+def file_region_wide(spark, sf_dir):
+    return comparable(jobs.file_tables(TT.wide_feed(spark, sf_dir), exact=True).region)
+
+
 @query
 def fact_load(spark, sf_dir):
     return comparable(TT.star(spark, sf_dir, dirty=True).fact)
@@ -117,6 +142,12 @@ def numeric_cast(spark, sf_dir):
     return comparable(rows.select(*KEYS, "units_sold", "total_sales"))
 
 
+@query
+def numeric_cast_wide(spark, sf_dir):
+    rows = N.cast_numbers(N.normalize_headers(TT.wide_feed(spark, sf_dir)), ["units_sold", "total_sales"])
+    return rows.select(*KEYS, "units_sold", "total_sales")
+
+
 @query
 def percent_parse(spark, sf_dir):
     ratio = P.to_ratio(F.col("operating_margin")).alias("operating_margin")
@@ -212,7 +243,7 @@ def kpi_monthly(spark, sf_dir):
 
 def _file_rows(spark, sf_dir):
     rows = N.by_role(TT.text_feed(spark, sf_dir))
-    return N.add_month(N.cast_numbers(rows, ["sales", "units"]), "date")
+    return N.add_month(N.cast_numbers(rows, ["sales", "units"], T.DecimalType(38, 6)), "date")
 
 
 @query

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 UNITS = T.DecimalType(12, 2)
+# Amounts of a file as they are read, and as they are summed.
+AMOUNT = T.DoubleType()
+SUMMED = "decimal(38,6)"
 MONEY = T.DecimalType(14, 2)
 PRICE = T.DecimalType(10, 4)
 MARGIN = T.DecimalType(6, 4)
@@ -66,6 +69,13 @@ SALES_NAME_PARTS = [
 # would add nothing to M/d/yyyy, which reads 04/05/2024 already.
 DATE_FORMATS = ["yyyy-MM-dd", "M/d/yyyy", "dd/MM/yyyy"]
 
+# Layouts that free date texts are also read in.
+FREE_DATE_FORMATS = ["yyyy/MM/dd", "yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "dd-MM-yyyy", "dd.MM.yyyy"]
+
+# Texts of a file that stand for a missing value.
+NULL_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+              "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 UNKNOWN = "Unknown"
 FALLBACK_DATE = "2023-01-01"
 DEFAULT_COUNTRY = "USA"

@@ -3,17 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow import schema as S
+from salesflow.functions.parsing import quoted
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with a header line.
 
-    Without a schema every column is read as text, in one pass, to be typed by the parsing
-    functions; inference would read the files twice.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False) -> DataFrame:
+    """CSV with a header line; quotes inside quoted values are doubled.
+
+    Everything is read as text, in one pass, and the usual marks of a missing value become
+    NULL. With a schema its columns are then taken by their header, whatever their order in
+    the file, and cast; a value that does not fit becomes NULL, a column that is missing an
+    error. Files with other headers than the first one are refused. `multiline` allows line
+    breaks in quoted values, at the price of one task per file.
     """
-    reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema else reader).csv(path)
+    texts = (
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
+        .option("enforceSchema", False).csv(path)
+    )
+    known = {c: F.when(~quoted(c).isin(S.NULL_TEXTS), quoted(c)) for c in texts.columns}
+    if schema is None:
+        return texts.select(*[e.alias(c) for c, e in known.items()])
+    missing = [f.name for f in schema if f.name not in known]
+    if missing:
+        raise ValueError(f"no column {', '.join(missing)} among {texts.columns}")
+    return texts.select(*[known[f.name].try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

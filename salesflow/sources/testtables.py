@@ -124,6 +124,14 @@ def text_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text feed with sales of three decimals and a few beyond ten million millions."""
+    sales, key = F.col("Total Sales"), F.col("o_orderkey")
+    wide = F.when(key % 499 == 5, "20000000000000.125").when(
+        sales.contains("."), F.concat(sales, (key % 10).cast("string"))).otherwise(sales)
+    return text_feed(spark, sf_dir).withColumn("Total Sales", wide)
+
+
 def star(spark: SparkSession, sf_dir: str, dirty: bool = False) -> Star:
     """Star schema over the tables: dimensions from the master tables, facts from a feed."""
     parts = table(spark, sf_dir, "part").select(

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from salesflow.functions import parsing as P
 from salesflow.functions.exact import rounded_mean
@@ -16,6 +17,7 @@ from salesflow.functions.quantiles import exact_quantiles, histogram
 from salesflow.operators import clean as C
 from salesflow.operators import normalize as N
 from salesflow.plans import jobs
+from salesflow.sources.readers import read_csv
 
 
 def one(spark, value, dtype, expr):
@@ -117,9 +119,36 @@ def test_quantiles_of_nothing(spark):
     assert exact_quantiles(histogram(df, ["v"]), "v", [0.5]) is None
 
 
-def test_doubles_are_refused(spark):
+@pytest.mark.parametrize("seed", range(4))
+def test_quantiles_of_doubles(spark, seed):
+    rnd = np.random.default_rng(seed)
+    values = [rnd.normal(size=500), np.exp(rnd.normal(size=300) * 50), np.full(200, 0.1), rnd.choice([-1e300, 1e300, 5e-324, 0.0], 99)][seed]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),)], "v double")
+    got = exact_quantiles(histogram(df, ["v"]), "v", [0.25, 0.5, 0.9])
+    order = np.sort(values)
+    for p, g in zip((0.25, 0.5, 0.9), got, strict=True):
+        place = p * (len(order) - 1)
+        low, high = order[int(np.floor(place))], order[int(np.ceil(place))]
+        assert g == low + (high - low) * (place - np.floor(place))
+
+
+def test_too_wide_decimals_are_refused(spark):
     with pytest.raises(TypeError):
-        histogram(spark.createDataFrame([(1.0,)], "v double"), ["v"])
+        histogram(spark.sql("select cast(1 as decimal(30,2)) v"), ["v"])
+
+
+def test_free_dates_are_read(spark):
+    texts = ["2024/01/05", "Jan 5, 2024", "January 5, 2024", "5 Jan 2024", "05.01.2024", "2024-01-05T10:00:00", "soon", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "v string").select(P.to_date_or(F.col("v")).alias("d")).collect()
+    assert [str(r.d) for r in rows] == ["2024-01-05"] * 6 + ["2023-01-01"] * 2
+
+
+def test_csv_by_header_and_null_texts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('units,name\n1,"He said ""hi"", ok"\nNA,null\nx,N/A\n')
+    rows = read_csv(spark, str(tmp_path / "a.csv"), StructType([StructField("name", StringType()), StructField("units", LongType())]))
+    assert [tuple(r) for r in rows.collect()] == [('He said "hi", ok', 1), (None, None), (None, None)]
+    with pytest.raises(ValueError, match="other"):
+        read_csv(spark, str(tmp_path / "a.csv"), StructType([StructField("other", StringType())]))
 
 
 def pandas_clean(pdf):
