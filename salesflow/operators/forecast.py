@@ -70,10 +70,14 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
     the region as a further feature. Regions with too few sales are left out.
     """
     spark = df.sparkSession
-    points = split_points(df, ties).where(can_forecast())
-    summed = checkpointed(forecast_training(flag_train(df, points, ties), ties, shards))
+    # The columns that matter are stored once, as the split reads them in several narrow passes.
+    narrow = checkpointed(df.select(*dict.fromkeys(["region", "date_vente", "total_sales", *ties])))
+    held = split_points(narrow, ties)
+    points = held.where(can_forecast())
+    summed = checkpointed(forecast_training(flag_train(narrow, points, ties), ties, shards))
     future = checkpointed(frame_after(points))
     regions = [r["region"] for r in points.select("region").collect()]  # names of the region dimension
+    held.unpersist()
     if not regions:
         return spark.createDataFrame(
             [], "region string, rmse double, forecast_m1 double, forecast_m2 double, forecast_m3 double"

@@ -34,6 +34,10 @@ def scaled_features(features: DataFrame, columns: list[str] = FEATURES) -> DataF
     return features.withColumns(scaled)
 
 
+#: Most iterations of a start; clustering ends sooner once the centres stay.
+ITERATIONS = 300
+
+
 def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
     """Retailers with their segment number and label, best clustering of `restarts` starts.
 
@@ -50,7 +54,7 @@ def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed:
     data.count()
 
     def fit(start: int):
-        return KMeans(k=k, seed=start, featuresCol="_x", predictionCol="_cluster").fit(data)
+        return KMeans(k=k, seed=start, maxIter=ITERATIONS, featuresCol="_x", predictionCol="_cluster").fit(data)
 
     with ThreadPoolExecutor(FIT_THREADS) as pool:
         models = list(pool.map(inheritable_thread_target(spark)(fit), range(seed, seed + restarts)))
@@ -73,6 +77,17 @@ def segment_summary(segments: DataFrame) -> DataFrame:
     )
 
 
+def nearest_segments(segments: DataFrame) -> DataFrame:
+    """Every retailer with the segment whose centre is nearest in scaled features, to hold against its own."""
+    scaled = scaled_features(segments.select("retailer", *FEATURES)).join(segments.select("retailer", "segment"), "retailer")
+    centres = scaled.groupBy("segment").agg(*[F.avg(c).alias(f"centre_{c}") for c in FEATURES])
+    listed = centres.agg(F.collect_list(F.struct("*")).alias("all")).scalar()  # k rows
+    distances = F.transform(F.col("_centres"), lambda c: F.struct(
+        sum((F.pow(F.col(f) - c[f"centre_{f}"], F.lit(2)) for f in FEATURES), F.lit(0.0)).alias("distance"),
+        c["segment"].alias("segment")))
+    return scaled.withColumn("_centres", listed).select("retailer", "segment", F.array_min(distances)["segment"].alias("nearest"))
+
+
 def segment_report(documents: DataFrame) -> DataFrame:
     """Stored segment documents without their storage id."""
     return documents.drop("_id")

@@ -380,6 +380,9 @@ ORACLE: dict[str, str] = {
         cast(units_sold AS double) AS units_sold, cast(total_sales AS double) AS total_sales, is_train FROM split""",
     "retailer_features_scaled": f"""WITH {FEED}, {FEATURES}
         SELECT retailer, {scaled('ca_total')}, {scaled('nb_transactions')}, {scaled('marge_moy')} FROM features""",
+    "segments_nearest": f"""WITH {FEED} SELECT DISTINCT retailer, true AS is_nearest, true AS falling,
+        'Premium,Standard,Basique' AS labels FROM feed""",
+    "forecast_bounds": f"""WITH {FEED} SELECT region, true AS within FROM feed GROUP BY region HAVING count(*) >= 10""",
     "forecast_training": f"""WITH {FEED}, {SPLIT} SELECT region, is_train, {CALENDAR.format(d='date_vente')},
         count(*) AS n_sales, cast(sum(total_sales) AS double) AS sum_sales,
         cast(sum(cast(total_sales * total_sales AS decimal(38,4))) AS double) AS sum_squares,

@@ -21,7 +21,7 @@ from salesflow.operators import segments as SEG
 from salesflow.operators import star as ST
 from salesflow.operators.split import chronological_split, eligible_groups
 from salesflow.plans import jobs
-from salesflow.session import new_dir
+from salesflow.session import checkpointed, new_dir
 from salesflow.sources import readers, sinks
 from salesflow.sources import testtables as TT
 from salesflow.streaming import events as EV
@@ -447,6 +447,19 @@ def segment_summary(spark, sf_dir):
     return SEG.segment_summary(_segments(spark, sf_dir))
 
 
+@query
+def segments_nearest(spark, sf_dir):
+    """Of every retailer whether its segment is the nearest one, and of the segments whether sales fall from one to the next."""
+    found = _segments(spark, sf_dir).transform(checkpointed)
+    mean = found.groupBy("segment").agg(F.avg("ca_total").alias("m"), F.min("segment_label").alias("label"))
+    falling = mean.agg(F.sort_array(F.collect_list(F.struct("segment", "m", "label"))).alias("all")).select(F.struct(
+            ((F.col("all.m")[0] > F.col("all.m")[1]) & (F.col("all.m")[1] > F.col("all.m")[2])).alias("falling"),
+            F.col("all.label").alias("labels"))).scalar()
+    return SEG.nearest_segments(found).select(
+        "retailer", (F.col("segment") == F.col("nearest")).alias("is_nearest"), falling["falling"].alias("falling"),
+        F.concat_ws(",", falling["labels"]).alias("labels"))
+
+
 @query
 def forecast_training(spark, sf_dir):
     feed = TT.sales_feed(spark, sf_dir).select("region", "date_vente", *TIES)
@@ -478,6 +491,16 @@ def forecast(spark, sf_dir):
     return _forecasts(spark, sf_dir)
 
 
+@query
+def forecast_bounds(spark, sf_dir):
+    """Of every forecast region whether its months lie within the sales it was trained on."""
+    feed = TT.sales_feed(spark, sf_dir).select("region", "date_vente", *TIES)
+    ends = feed.groupBy("region").agg(F.min("total_sales").alias("low"), F.max("total_sales").alias("high"))
+    found = FC.forecast_sales(feed, TIES, trees=10, depth=8).join(ends, "region")
+    months = [F.col(f"forecast_m{i}").between(F.col("low").cast("double"), F.col("high").cast("double")) for i in (1, 2, 3)]
+    return found.select("region", (months[0] & months[1] & months[2] & (F.col("rmse") > 0)).alias("within"))
+
+
 @query
 def report_forecasts(spark, sf_dir):
     return R.forecast_report(_forecasts(spark, sf_dir))
