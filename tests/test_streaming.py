@@ -199,3 +199,21 @@ def test_redelivered_events_are_dropped_across_micro_batches(spark, events, tmp_
     EV.run_deduplicated(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["seq"])
     out = EV.read_deduplicated(spark, str(tmp_path / "out"), stream.schema)
     assert same(out, TT.event_sales(rows))
+
+
+def test_raw_events_are_scored_as_texts_and_loaded_typed(spark, tmp_path):
+    columns = "seq long, invoice_date string, region string, product string, beverage_brand string, retailer string, " \
+              "units_sold double, total_sales double, price_per_unit double, operating_profit double, operating_margin string"
+    rows = [(i, ["2024/01/05", "1/6/2024", "Jan 7, 2024"][i % 3], "West", "Cola", "A", "R1", 2.0, 10.0, 5.0, 3.0, "31.5%")
+            for i in range(250)]
+    events = EV.to_events(spark.createDataFrame(rows, columns), "run-1")
+    stored = EV.decode(events, spark.createDataFrame([], columns).schema).drop("batch_id", "event_time")
+    numbers = numbered(stored)
+    gate = StreamGate(spark, str(tmp_path), numbers.schema, star=True, raw=True)
+    gate.process(numbers, 0)
+    gate.flush()
+    fact = gate.table("fact")
+    assert fact.count() == 250 and gate.table("dq_log").where("dq_score = 100").count() == 3
+    assert {str(r.date_vente) for r in fact.collect()} == {"2024-01-05", "2024-01-06", "2024-01-07"}
+    assert {float(r.operating_margin) for r in fact.collect()} == {0.315}
+    assert gate.table("dq_log").where("checked_at IS NOT NULL").count() == 3
