@@ -24,14 +24,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from salesflow.llm.common import arrow_schema, id_and_text, rows_out, texts
+from salesflow.llm.common import Held, arrow_schema, id_and_text, rows_out, texts
 
 #: Pieces up to this many bytes are leaves of the tree.
 LEAF = 6
 #: Windows up to this many bytes are merged by plain search, longer ones with a heap.
 PLAIN = 48
-#: Entries that each table may hold before it starts anew.
-HELD = 300_000
+#: Entries that each table may hold, and as many old ones.
+HELD = 200_000
+NONE = 1 << 40
 #: What the pattern's \s stands for; Python counts four control characters more.
 BLANKS = "\t-\r \x85\xa0  -     　"
 BORDER = re.compile(rf"(?<=\S)(?=[{BLANKS}])")
@@ -45,9 +46,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.bytes_of = {rank: piece for piece, rank in ranks.items()}
-        self.memo: dict[bytes, tuple[int, ...]] = {}
-        self.agree: dict[tuple[int, int], bool] = {}
-        self.after_space: dict[str, str] = {}
+        self.memo, self.agree, self.after_space = Held(HELD), Held(HELD), Held(HELD)
         odd = [p for p, rank in ranks.items() if self.merge(p) != (rank,)]
         if odd or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"not a vocabulary of byte-level BPE: {len(odd)} tokens do not encode to themselves")
@@ -62,20 +61,20 @@ class Encoder:
         """The encoding by its definition: the pair of lowest rank is merged first, the leftmost of equals."""
         if len(piece) > PLAIN:
             return self.merge_long(piece)
-        ranks, parts = self.ranks, [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(piece[i:i + 2]) for i in range(len(piece) - 1)]
+        rank, n = self.ranks.get, len(piece)
+        ends = list(range(n + 1))  # borders of the parts
+        pairs = [rank(piece[i:i + 2], NONE) for i in range(n - 1)]
         while pairs:
-            low = min((r for r in pairs if r is not None), default=None)
-            if low is None:
+            low = min(pairs)
+            if low == NONE:
                 break
             i = pairs.index(low)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+            del ends[i + 1], pairs[i]
             if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i])
+                pairs[i - 1] = rank(piece[ends[i - 1]:ends[i + 1]], NONE)
             if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1])
-        return tuple(ranks[p] for p in parts)
+                pairs[i] = rank(piece[ends[i]:ends[i + 2]], NONE)
+        return tuple([rank(piece[a:b]) for a, b in zip(ends, ends[1:], strict=False)])
 
     def merge_long(self, piece: bytes) -> tuple[int, ...]:
         """The same with the pairs in a heap, for windows that had to grow."""
@@ -105,11 +104,10 @@ class Encoder:
 
     def agrees(self, a: int, b: int) -> bool:
         """Whether two neighbouring tokens are the encoding of their bytes."""
-        found = self.agree.get((a, b))
+        found = self.agree.find((a, b))
         if found is None:
-            if len(self.agree) >= HELD:
-                self.agree.clear()
-            found = self.agree[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == (a, b)
+            found = self.merge(self.bytes_of[a] + self.bytes_of[b]) == (a, b)
+            self.agree.put((a, b), found)
         return found
 
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
@@ -131,7 +129,7 @@ class Encoder:
         rank = self.ranks.get(piece)
         if rank is not None:
             return (rank,)
-        found = self.memo.get(piece)
+        found = self.memo.find(piece)
         if found is None:
             if len(piece) <= LEAF:
                 found = self.merge(piece)
@@ -139,9 +137,7 @@ class Encoder:
                 half = len(piece) // 2
                 found = self.join(self.encode_piece(piece[:half]), self.encode_piece(piece[half:]))
             if len(piece) <= 64:
-                if len(self.memo) >= HELD:
-                    self.memo.clear()
-                self.memo[piece] = found
+                self.memo.put(piece, found)
         return found
 
     def listed(self, segment: str) -> str:
@@ -166,13 +162,11 @@ class Encoder:
         return ",".join(filter(None, [self.listed(first), *found]))
 
     def miss(self, part: str) -> str:
-        found = self.after_space.get(part)
+        found = self.after_space.find(part)
         if found is None:
             found = self.listed(" " + part)
             if len(part) <= 48:
-                if len(self.after_space) >= HELD:
-                    self.after_space.clear()
-                self.after_space[part] = found
+                self.after_space.put(part, found)
         return found
 
     def encode(self, text: str) -> list[int]:

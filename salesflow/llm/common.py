@@ -56,6 +56,28 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[str]:
         yield column[i].as_py() or ""
 
 
+class Held(dict):
+    """A table of bounded size: when it is full its entries become the old ones, and old ones that are met again return."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room, self.old = room, {}
+
+    def find(self, key):
+        found = self.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+
 def arrow_schema(ddl: str) -> pa.Schema:
     """The Arrow schema of a small DDL string with the types the operators return."""
     kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
