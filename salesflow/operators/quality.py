@@ -168,6 +168,7 @@ def gate(df: DataFrame, log: DataFrame, batch: list[str] | str = "batch_no") ->
 
 
 # ── dataset checks ───────────────────────────────────────────────────────────
+# Thresholds of the checks.
 MIN_ROWS = 10
 MAX_NULL_PERCENT = 30
 
@@ -244,6 +245,7 @@ def dataset_checks(profiled: DataFrame) -> DataFrame:
             lambda e: F.concat(F.lit("'"), e["key"], F.lit(": "), e["value"].cast("string"), F.lit(" valeurs négatives'")),
         ),
     )
+    # Names of the checks and wording of their details.
     checks = [
         ("no_empty_rows", F.col("empty_rows") == 0, F.concat(F.col("empty_rows"), F.lit(" lignes vides"))),
         ("no_duplicates", duplicates == 0, F.concat(duplicates, F.lit(" doublons"))),

@@ -76,6 +76,7 @@ FREE_DATE_FORMATS = ["yyyy/MM/dd", "yyyyMMdd", "MMM d, yyyy", "MMMM d, yyyy", "d
 NULL_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
               "NULL", "NaN", "None", "n/a", "nan", "null"]
 
+# Defaults, thresholds, states and labels.
 UNKNOWN = "Unknown"
 FALLBACK_DATE = "2023-01-01"
 DEFAULT_COUNTRY = "USA"
