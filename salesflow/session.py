@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -25,7 +27,8 @@ def local_session(cores: int | str = 8, app: str = "salesflow") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors reach, as the session names it in spark.checkpoint.dir.
 
-    Only a local session without the setting gets a folder of its own.
+    Only a local session without the setting gets a folder of its own, which goes with the
+    process. What an application leaves below the configured folder can go when it has ended.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
@@ -37,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     if current is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="salesflow-"))
+        folder = tempfile.mkdtemp(prefix="salesflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)  # with the session nothing reads it any more
+        context.setCheckpointDir(folder)
         current = context.getCheckpointDir()
     return current.rstrip("/")
 
