@@ -6,8 +6,8 @@ equal has equal keys. Keys that exist once cannot repeat and go no further. A ke
 a whole. The different fragments of all other keys are joined to blocks of up to two million bytes; the suffixes of a
 block are sorted in two stages, and neighbours with a common prefix of `LENGTH` bytes or more are repeats.
 
-Nothing is gathered without bound: copies of a text or a fragment count but go along once; keys pass a task row by row; a
-key with more than `CROWD` different fragments (a common line within ever different text) is cut again by longer anchors,
+Nothing is gathered without bound: copies of a text count but go along once; a fragment that one text has again and again
+(a period) goes along twice, and the rest of them is settled where it is read; keys pass a task row by row; a key with more than `CROWD` different fragments (a common line within ever different text) is cut again by longer anchors,
 at last by whole windows, of which equal ones are alike.
 
 Texts are known by a 128-bit hash of their bytes, fragments by two of 64 bits (key and content), so equal texts share
@@ -18,6 +18,7 @@ is a copy, also with the same id; an empty table gives an empty result; other co
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,64 +36,120 @@ LENGTH = 200
 #: Bytes of the anchors, one level after the other.
 ANCHORS = (32, 150, 200)
 #: Different fragments a key may have to be sorted in one block.
-CROWD = 2500
+CROWD = 1500
 #: Rows of one key that are looked at together.
 GROUP = 100_000
-PACKED = 1 << 20
+#: Texts that are turned into rows at once.
+SLICE = 128
+#: Bytes from which on a block takes no further key.
+PACKED = 1 << 18
 
 PIECES = "pid binary, twice boolean, data binary"
-ROWS = "key long, content long, pid binary, start long, size long"
+ROWS = "key long, content long, pid binary, start long, size long, settled boolean"
+FOUND = "key long, content long, low long, high long"
 MARKED = "many boolean, key long, content long, pid binary, start long, size long, first boolean, twice boolean"
 
 
+def named_texts(batches: Iterator[pa.RecordBatch], copies: int) -> Iterator[tuple[bytes, bytes]]:
+    """Name and bytes of each text; of equal texts of one task at most so many."""
+    seen: dict[bytes, int] = {}
+    for batch in batches:
+        for text in texts(batch):
+            data = text.encode("utf-8", "surrogatepass")
+            name = xxhash.xxh3_128_digest(data)
+            seen[name] = seen.get(name, 0) + 1
+            if seen[name] <= copies:
+                yield name, data
+
+
 def contents(docs: DataFrame) -> DataFrame:
-    """PIECES of all texts, compressed. Of equal texts a task gives the first, and the second as one that exists twice."""
+    """PIECES of all texts, compressed; of equal texts a task gives one."""
     schema = arrow_schema(PIECES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[bytes, int] = {}
-        pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            rows = []
-            for text in texts(batch):
-                data = text.encode("utf-8", "surrogatepass")
-                pid = xxhash.xxh3_128_digest(data)
-                seen[pid] = seen.get(pid, 0) + 1
-                if seen[pid] <= 2:
-                    rows.append((pid, seen[pid] == 2, pack(data)))
-            yield rows_out(rows, schema)
+        pack, rows = zstandard.ZstdCompressor(level=3).compress, []
+        for name, data in named_texts(batches, 1):
+            rows.append((name, False, pack(data)))
+            if len(rows) == SLICE:
+                yield rows_out(rows, schema)
+                rows = []
+        yield rows_out(rows, schema)
 
-    return id_and_text(docs).select("doc_id", "text").mapInArrow(run, PIECES)
+    return id_and_text(docs).mapInArrow(run, PIECES)
 
 
-def fragments(pieces: DataFrame, anchor: int, length: int) -> DataFrame:
-    """ROWS of all pieces, a row twice for a piece that exists twice."""
-    schema = arrow_schema(ROWS)
+def text_fragments(docs: DataFrame, anchor: int, length: int) -> DataFrame:
+    """ROWS of all texts; of equal texts a task gives two, which is enough to repeat."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return cut_rows(((name, 1, data) for name, data in named_texts(batches, 2)), anchor, length)
+
+    return id_and_text(docs).mapInArrow(run, ROWS)
 
+
+def piece_fragments(pieces: DataFrame, anchor: int, length: int) -> DataFrame:
+    """ROWS of all pieces, twice for a piece that exists twice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                key, content, pid, start, size = [], [], [], [], []
-                few = batch.slice(at, 256)
-                for name, twice, packed in zip(few.column(0).to_pylist(), few.column(1).to_pylist(), few.column(2), strict=True):
-                    data = unpack(packed.as_py())
-                    first, stop, keys = cut(np.frombuffer(data, np.uint8), length, anchor)
-                    hashes = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
-                    for _ in range(1 + bool(twice)):
-                        key.append(keys)
-                        content += hashes
-                        pid += [name] * len(keys)
-                        start.append(first)
-                        size.append(stop - first)
-                if pid:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(key).view(np.int64)), pa.array(np.array(content, np.uint64).view(np.int64)),
-                         pa.array(pid, pa.binary()), pa.array(np.concatenate(start)), pa.array(np.concatenate(size))], schema=schema)
+        return cut_rows(((name.as_py(), 1 + twice.as_py(), unpack(data.as_py())) for batch in batches
+                         for name, twice, data in zip(*batch.columns, strict=True)), anchor, length)
 
     return pieces.mapInArrow(run, ROWS)
 
 
+def cut_rows(items: Iterator[tuple[bytes, int, bytes]], anchor: int, length: int) -> Iterator[pa.RecordBatch]:
+    """ROWS of the fragments of (name, times, bytes).
+
+    Of a fragment that one text has more than twice the further places are surely repeats: they come as settled
+    stretches, spread over all tasks.
+    """
+    schema = arrow_schema(ROWS)
+    while few := list(itertools.islice(items, SLICE)):
+        key, content, pid, start, size, done = [], [], [], [], [], []
+        for name, times, data in few:
+            first, stop, keys = cut(np.frombuffer(data, np.uint8), length, anchor)
+            hashes = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
+            if len(set(hashes)) < len(hashes):
+                further = later_places(hashes)
+                low, high = merged(first[further], stop[further])
+                key.append(np.array([xxhash.xxh3_64_intdigest(name + x.tobytes()) for x in low], np.uint64))
+                content += [0] * len(low)
+                pid += [name] * len(low)
+                start.append(low)
+                size.append(high - low)
+                done += [True] * len(low)
+                first, stop, keys = first[~further], stop[~further], keys[~further]
+                hashes = [h for h, f in zip(hashes, further.tolist(), strict=True) if not f]
+            for _ in range(times):
+                key.append(keys)
+                content += hashes
+                pid += [name] * len(keys)
+                start.append(first)
+                size.append(stop - first)
+                done += [False] * len(keys)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(key).view(np.int64)), pa.array(np.array(content, np.uint64).view(np.int64)),
+             pa.array(pid, pa.binary()), pa.array(np.concatenate(start)), pa.array(np.concatenate(size)), pa.array(done, pa.bool_())],
+            schema=schema)
+
+
+def later_places(hashes: list[int]) -> np.ndarray:
+    """Marks the third and every further place of each value."""
+    seen: dict[int, int] = {}
+    out = np.zeros(len(hashes), bool)
+    for i, h in enumerate(hashes):
+        seen[h] = seen.get(h, 0) + 1
+        out[i] = seen[h] > 2
+    return out
+
+
+def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches in rising order, joined where they touch or overlap."""
+    if not len(low):
+        return low, high
+    new = np.concatenate(([True], low[1:] > high[:-1]))
+    return low[new], high[np.concatenate((new[1:], [True]))]
+
+
 def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of keys that exist more than once, as MARKED: many if the key has different fragments.
 
@@ -124,6 +181,9 @@ def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not whole:
             many[:] = often[:] = True
             open_key, last = int(key[-1]), (int(key[-1]), int(content[-1]))
+        settled = rows["settled"].to_numpy()
+        many &= ~settled
+        often |= settled
         keep = np.flatnonzero(often)
         if not len(keep):
             return None
@@ -166,13 +226,13 @@ def fetched(chosen: DataFrame, pieces: DataFrame) -> DataFrame:
                 yield rows_out([(p["key"], p["content"], p["twice"], data[p["start"]:p["start"] + p["size"]])
                                 for p in parts.as_py()], schema)
 
-    return pieces.where("NOT twice").select("pid", "data").join(wanted, "pid").select("data", "parts").mapInArrow(
+    return pieces.select("pid", "data").join(wanted, "pid").select("data", "parts").mapInArrow(
         run, "key long, content long, twice boolean, data binary")
 
 
 def sort_blocks(length: int):
     """A function over fragments sorted by key and content: what repeats, as places in the fragments."""
-    schema = arrow_schema("key long, content long, low long, high long")
+    schema = arrow_schema(FOUND)
 
     def solve(names: list[tuple[int, int]], twice: list[bool], parts: list[bytes]) -> pa.RecordBatch:
         return rows_out([(*names[i], low, high) for i, low, high in repeated_runs(parts, twice, length)], schema)
@@ -198,10 +258,13 @@ def sort_blocks(length: int):
     return run
 
 
-def repeated(pieces: DataFrame, length: int = LENGTH, anchors: tuple[int, ...] = ANCHORS, crowd: int = CROWD) -> DataFrame:
-    """Stretches (pid, start, stop) of the pieces that repeated strings cover; they may touch and overlap."""
-    rows = fragments(pieces, anchors[0], length).repartition("key").sortWithinPartitions("key", "content")
-    marked = stored(rows.mapInArrow(mark, MARKED), "fragments")
+def repeated(pieces: DataFrame, rows: DataFrame, length: int, anchors: tuple[int, ...], crowd: int) -> DataFrame:
+    """Stretches (pid, start, stop) of the pieces that repeated strings cover; they may touch and overlap.
+
+    rows are the fragments of the pieces at the first of the anchors.
+    """
+    ordered = rows.repartition("key").sortWithinPartitions("key", "content")
+    marked = stored(ordered.mapInArrow(mark, MARKED), "fragments")
     alike = marked.where("NOT many").select("pid", "start", (F.col("start") + F.col("size")).alias("stop"))
     many = marked.where("many")
     parts = fetched(many.where("first"), pieces)
@@ -215,41 +278,57 @@ def repeated(pieces: DataFrame, length: int = LENGTH, anchors: tuple[int, ...] =
             parts = stored(parts, "parts")
     few = parts if crowded is None else parts.join(crowded, "key", "left_anti")
     found = few.repartition("key").sortWithinPartitions("key", "content").mapInArrow(
-        sort_blocks(length), "key long, content long, low long, high long")
+        sort_blocks(length), FOUND)
     if crowded is not None:
         again = stored(parts.join(crowded, "key").mapInArrow(as_pieces, PIECES), "pieces")
-        deeper = repeated(again, length, anchors[1:], crowd)
-        number = [F.conv(F.hex(F.substring("pid", at, 8)), 16, -10).cast("long") for at in (1, 9)]
-        found = found.unionAll(deeper.select(number[0], number[1], "start", "stop"))
+        deeper = repeated(again, piece_fragments(again, anchors[1], length), length, anchors[1:], crowd)
+        per_piece = deeper.groupBy("pid").agg(F.collect_set(F.struct("start", "stop")).alias("stretches"))  # within one fragment
+        found = found.unionAll(per_piece.mapInArrow(as_found, FOUND))
     places = many.select("key", "content", "pid", "start").join(found, ["key", "content"]).select(
         "pid", (F.col("start") + F.col("low")).alias("start"), (F.col("start") + F.col("high")).alias("stop"))
     return alike.unionAll(places)
 
 
 def as_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments as pieces named by key and content; one that exists twice is also given so."""
+    """Fragments as pieces named by key and content."""
     schema, pack = arrow_schema(PIECES), zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         rows = []
         for key, content, twice, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             pid, packed = key.to_bytes(8, "big", signed=True) + content.to_bytes(8, "big", signed=True), pack(data)
-            rows += [(pid, False, packed)] + [(pid, True, packed)] * twice
+            rows.append((pid, twice, packed))
         yield rows_out(rows, schema)
 
 
-def spared(data: bytes, stretches: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], bytes]:
-    """The maximal stretches removed, and the bytes left."""
+def as_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The stretches of pieces, joined where they touch, under the key and content that name the piece."""
+    schema = arrow_schema(FOUND)
+    for batch in batches:
+        rows = []
+        for pid, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            key, content = (int.from_bytes(pid[at:at + 8], "big", signed=True) for at in (0, 8))
+            rows += [(key, content, low, high) for low, high in joined([(s["start"], s["stop"]) for s in found])]
+        yield rows_out(rows, schema)
+
+
+def joined(stretches: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches in any order as maximal ones."""
     runs: list[list[int]] = []
     for start, stop in sorted(stretches):
         if runs and start <= runs[-1][1]:
             runs[-1][1] = max(runs[-1][1], stop)
         else:
             runs.append([start, stop])
-    left, at = [], 0
+    return [(a, b) for a, b in runs]
+
+
+def spared(data: bytes, stretches: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], bytes]:
+    """The maximal stretches removed, and the bytes left."""
+    runs, left, at = joined(stretches), [], 0
     for start, stop in runs:
         left.append(data[at:start])
         at = stop
-    return [(a, b) for a, b in runs], b"".join([*left, data[at:]])
+    return runs, b"".join([*left, data[at:]])
 
 
 RESULT = "pid binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string, left binary"
@@ -257,8 +336,8 @@ RESULT = "pid binary, n_bytes long, n_removed long, n_spans long, kept_sha256 st
 
 def content_results(docs: DataFrame, length: int = LENGTH, with_bytes: bool = False) -> DataFrame:
     """RESULT for every different text; the bytes left only if asked for."""
-    pieces = contents(docs)
-    stretches = repeated(pieces, length, tuple(min(a, length) for a in ANCHORS))
+    pieces, anchors = contents(docs), tuple(min(a, length) for a in ANCHORS)
+    stretches = repeated(pieces, text_fragments(docs, anchors[0], length), length, anchors, CROWD)
     per_text = stretches.distinct().groupBy("pid").agg(F.collect_list(F.struct("start", "stop")).alias("stretches"))
     schema = arrow_schema(RESULT)
 
@@ -273,7 +352,7 @@ def content_results(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Fa
                              left if with_bytes else None))
             yield rows_out(rows, schema)
 
-    return pieces.where("NOT twice").select("pid", "data").join(per_text, "pid", "left").mapInArrow(run, RESULT)
+    return pieces.select("pid", "data").join(per_text, "pid", "left").mapInArrow(run, RESULT)
 
 
 def content_ids(docs: DataFrame) -> DataFrame:

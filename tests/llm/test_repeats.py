@@ -33,14 +33,13 @@ def made(seed, n=60):
     passages, line = [text(60) for _ in range(4)], text(30)
     rows = [text(rnd.randint(0, 80)) + rnd.choice([*passages, line, line, ""]) + text(rnd.randint(0, 60)) for _ in range(n)]
     own = text(70)
-    return [*rows, rows[0], rows[0], "xy" * 400, "z" * 900, own + " middle " + own, "é" * 300, passages[0][5:290], "", None]
+    return [*rows, rows[0], rows[0], "xy" * 400, "z" * 900, "to be " * 300 + "or", own + "to be " * 150, own + " middle " + own, "é" * 300, passages[0][5:290], "", None]
 
 
 @pytest.mark.parametrize(("seed", "crowd"), [(1, 2500), (2, 3)])
 def test_random_corpora(spark, monkeypatch, seed, crowd):
     """Also with a small crowd, so that keys go through all levels of anchors."""
     monkeypatch.setattr(repeats, "CROWD", crowd)
-    monkeypatch.setattr(repeats.repeated, "__defaults__", (repeats.LENGTH, repeats.ANCHORS, crowd))
     texts = made(seed)
     docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]).repartition(4)
     got = {r["doc_id"]: tuple(r[1:]) for r in repeats.remove_repeats(docs).collect()}
@@ -70,9 +69,10 @@ def test_rows_of_one_key_in_parts(monkeypatch):
     """A key with more rows than are held at a time gives the same fragments as one look at all of them."""
     import pyarrow as pa
     rnd = random.Random(1)
-    rows = sorted((rnd.choice([1, 1, 1, 2, 3, 4]), rnd.randint(0, 5), b"p", i, 9) for i in range(400))
+    rows = sorted((rnd.choice([1, 1, 1, 2, 3, 4]), rnd.randint(0, 5), b"p", i, 9, False) for i in range(400))
     batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i:i + 7], strict=True), (
-        pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["key", "content", "pid", "start", "size"])
+        pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
+        names=["key", "content", "pid", "start", "size", "settled"])
         for i in range(0, 400, 7)]
     for group in (100_000, 20, 3):
         monkeypatch.setattr(repeats, "GROUP", group)
