@@ -8,7 +8,8 @@ A file is a table of segments, each a self-contained binary block of whole docum
 own document directory. A segment holds about `SEGMENT` ids, or one document that has more.
 
 Defined cases: a null or empty text has the end id alone; a null doc_id comes before all others; equal doc_ids follow each
-other in the order of their texts; an empty table gives no segment and an empty result; other columns are not read.
+other in the order of their texts; the literal of an added token in a text has that token's id, as in the library; an
+empty table gives no segment and an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -152,13 +153,14 @@ class WordEncoder:
 
     The tokenizer drops white space and looks at nothing across it, so what stands between single spaces is
     encoded for itself. Of plain Latin text also the cutting and the lower case are known, and only the model
-    is asked for each word.
+    is asked for each word. A text that holds an added token's content goes through the tokenizer whole, which gives
+    the token's own id for it, as everywhere in the library.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = str.maketrans({b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)})
@@ -190,6 +192,8 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers."""
+        if any(a in text for a in self.added):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         split = text.split(" ")
         found = list(map(self.parts.get, split))
         if None in found:

@@ -59,3 +59,16 @@ def test_file_round_trip(spark, odd, none, library, tmp_path):
     dac.write_tokens(odd, str(tmp_path / "small"), PATH, segment=16)  # many segments to a task
     assert sorted(map(tuple, dac.read_tokens(spark, str(tmp_path / "small")).collect()), key=lambda r: r[1]) == want
     assert dac.token_file(none, PATH).count() == 0
+
+
+def test_literals_of_added_tokens_as_the_library_has_them(spark):
+    plain, coder = Tokenizer.from_file(PATH), dac.WordEncoder(PATH)
+    assert np.frombuffer(coder.encode("hello <|endoftext|> world"), "<u4").tolist() == [3306, 49407, 1002]
+    rnd = random.Random(2)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "text|>", " ", "  ", "it's", "Été", "漢", "e\u0301", "\n", "x", "'s", "!"]
+    found = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(2000)]
+    for text in found:
+        assert np.frombuffer(coder.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame(list(enumerate(found[:50])), "doc_id long, text string")
+    got = dac.token_file(docs, PATH).collect()
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == expected(docs.collect(), plain)
