@@ -33,6 +33,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_text(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row per key with the text that has the smallest hash; copies are merged before the shuffle."""
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), F.col("text"))).alias("least")
+    return rows.groupBy(*keys).agg(least).select(*keys, F.col("least.text").alias("text"))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names close to these which the frame does not have yet."""
     taken, found = {c.lower() for c in df.columns}, []

@@ -10,8 +10,8 @@ Trees are trained on at most `PER_LANGUAGE` documents of a language and `SAMPLE`
 the `CONTEXTS` most frequent contexts of three bytes are kept, so the table has a size that does not grow with the data.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, and so is any text if no language was learned;
-equal code lengths go to the first language by name; rows with null lang or null doc_id are not learned from; repeated
-rows come back once each; an empty table gives an empty result; other columns are not read.
+equal code lengths go to the first language by name; rows with null lang or null doc_id are not learned from, and of
+those with equal lang and doc_id only the text with the smallest hash is; repeated rows come back once each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import arrow_schema, id_and_text, in_set, rows_out, texts
+from salesflow.llm.common import arrow_schema, id_and_text, in_set, one_text, rows_out, texts
 
 ORDER = 3
 PER_LANGUAGE = 400
@@ -33,6 +33,9 @@ CONTEXTS = 20_000
 #: Most entries of the table, all languages together.
 ENTRIES = 16_000_000
 STEP = 1 << 20
+#: Tasks that count the sample, which is no larger for more data, and bytes that a task counts at once.
+PARTS = 16
+AT_ONCE = 1 << 22
 UNKNOWN = "und"
 
 
@@ -118,20 +121,30 @@ def train(docs: DataFrame, held_out, per_language: int = PER_LANGUAGE, sample: i
     """Trees from documents outside the held-out fold, which is a condition on doc_id."""
     rows = docs.select("doc_id", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = (rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
-           .orderBy("place", "lang").limit(sample).select("doc_id", "lang").distinct())
-    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(few), "doc_id").select("lang", "text")  # `sample` rows at most
+    few = (rows.distinct().withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+           .orderBy("place", "lang").limit(sample).select("doc_id", "lang"))
+    found = docs.select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), ["doc_id", "lang"])
+    chosen = one_text(found, "doc_id", "lang").select("lang", "text").coalesce(PARTS)  # `sample` rows at most
     schema = arrow_schema("lang string, gram long, n long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            by_lang: dict[str, list[np.ndarray]] = {}
-            for lang, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                by_lang.setdefault(lang, []).append(grams(text))
+        by_lang: dict[str, list[np.ndarray]] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
             for lang, parts in by_lang.items():
                 gram, n = np.unique(np.concatenate(parts), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram)), pa.array(gram), pa.array(n)], schema=schema)
+            by_lang.clear()
+
+        held = 0
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
+                by_lang.setdefault(lang, []).append(grams(text))
+                held += len(by_lang[lang][-1])
+                if held >= AT_ONCE:
+                    yield from counted()
+                    held = 0
+        yield from counted()
 
     counts = chosen.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())

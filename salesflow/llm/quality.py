@@ -8,7 +8,8 @@ are flat numpy arrays, so scoring is a few gathers for a whole batch.
 
 Defined cases: a null or empty text has no words and fails the base rules; without usable labels (none, or of one kind)
 the model accepts everything and the base rules decide alone; labels that are null or whose document is missing are left
-out; of repeated labels for one id the lowest counts; other columns are neither read nor touched.
+out; of repeated labels for one id the lowest counts, of its repeated rows the text with the smallest hash; other columns
+are neither read nor touched.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import SPACES, arrow_schema, fresh, id_and_text, texts
+from salesflow.llm.common import SPACES, arrow_schema, fresh, id_and_text, one_text, texts
 
 #: Most labelled documents that a model is fitted on.
 SAMPLE = 20_000
@@ -164,7 +165,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Tre
     """The model from at most `sample` labelled documents; only their texts are looked at."""
     chosen = (labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    few = id_and_text(docs).join(F.broadcast(chosen), "doc_id")  # `sample` rows of two numbers at most
+    few = one_text(id_and_text(docs).join(F.broadcast(chosen), "doc_id"), "doc_id", "quality")  # `sample` rows at most
     names = [name for name, _ in FEATURES]
     schema = arrow_schema("doc_id long, quality double, " + ", ".join(f"{n} double" for n in names))
 

@@ -9,7 +9,8 @@ It is fitted on at most `SAMPLE` labelled documents (the smallest by a hash of t
 most between toxic and other ones by the chi-square of their document counts, and all group names, are its inputs.
 
 Defined cases: a null or empty text has no terms and the score of the intercept; rows with null labels or null ids
-are not learned from, and of repeated labels for one id the lowest counts; without labels of both kinds the score is the
+are not learned from, and of repeated labels for one id the lowest counts, of its repeated rows the text with the smallest
+hash; without labels of both kinds the score is the
 smoothed rate of label 1; repeated rows come back once each; an empty table gives an empty result; other columns are not
 read.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import arrow_schema, id_and_text, in_set, rows_out, stored, texts
+from salesflow.llm.common import arrow_schema, id_and_text, in_set, one_text, rows_out, stored, texts
 
 SAMPLE = 20_000
 FEATURES = 4096
@@ -134,7 +135,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, held_out, sample: int = SAM
     """The model from labelled documents outside the held-out fold, which is a condition on doc_id."""
     chosen = (labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out).groupBy("doc_id")
               .agg(F.min("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-    few = stored(id_and_text(docs).join(F.broadcast(chosen), "doc_id").select(  # `sample` rows of two numbers at most
+    few = stored(one_text(id_and_text(docs).join(F.broadcast(chosen), "doc_id"), "doc_id", "toxic").select(  # `sample` rows at most
         "doc_id", (F.col("toxic") > 0).cast("long").alias("toxic"), "text"), "labelled")
     total, bad = few.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     schema = arrow_schema("term string, bad long, n long")

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 from pyspark.sql import functions as F
 
-from salesflow.llm import langid, toxicity
+from salesflow.llm import langid, quality, toxicity
 from tests.llm.conftest import frame
 
 
@@ -133,3 +133,27 @@ def test_penalty_lowers_the_change():
         w, _ = toxicity.fit_weights(rows, y.astype(float), [(0, [0, 2]), (5, [2])], 4, change=change)
         gaps.append(abs(w[1] - w[2]))
     assert gaps[1] < 0.2 * gaps[0]
+
+
+def test_repeated_ids_are_learned_from_once(spark, monkeypatch):
+    rows, labels = corpus(40)
+    more = rows + [(i, f"{rows[i][1]} idiotic {k}", *rows[i][2:]) for i in (0, 3) for k in range(60)]
+    marks = spark.createDataFrame([*labels, labels[3]], "doc_id long, quality int, toxic int")
+    nobody = F.lit(False)
+    seen = []
+    fit = toxicity.fit_weights
+    monkeypatch.setattr(toxicity, "fit_weights", lambda rows, y, *rest: seen.append((len(rows), len(y))) or fit(rows, y, *rest))
+    toxicity.fit_toxicity(frame(spark, more), marks, nobody)
+    trees = quality.fit_trees
+    monkeypatch.setattr(quality, "fit_trees", lambda x, y, *rest: seen.append((len(x), len(y))) or trees(x, y, *rest))
+    quality.fit_quality(frame(spark, more), marks)
+    assert seen == [(40, 40)] * 2
+
+
+def test_copies_of_an_id_take_one_place_of_their_language(spark):
+    rows = [(i, f"text number {chr(97 + i) * 3}", "en", "s", 1) for i in range(20)] + [(3, "ein text", "de", "s", 1)]
+    once = langid.train(frame(spark, rows), F.lit(False), per_language=20)
+    often = langid.train(frame(spark, rows + rows[:5] * 60), F.lit(False), per_language=20)
+    assert once.languages == often.languages == ["de", "en"]
+    assert np.array_equal(once.bits, often.bits) and np.array_equal(once.node, often.node)
+    assert langid.train(frame(spark, [rows[-1], (3, "w", "en", "s", 1)]), F.lit(False)).kinds == len(set("ein text" + "w")) + 1
