@@ -1,7 +1,7 @@
 """Best-fit packing into sequences of several permitted lengths.
 
-Documents are cut at the largest permitted length; the pieces are dealt to shards of about `SHARD` pieces by a hash, and
-every shard is packed for itself, so the work is spread evenly and the waste of a shard is a bin or so. In a shard, pieces
+Documents are cut at the largest permitted length; the pieces are dealt to shards of about `SHARD` pieces by a hash, equal
+rows, which are counted first, in heaps of `HEAP` copies from shard to shard, so no shard gets them all. Every shard is packed for itself, so the work is spread evenly and the waste of a shard is a bin or so. In a shard, pieces
 go from the longest to the shortest into the open bin they fit best. If none has room, a new bin of the least-cost size is
 opened. Which size that is depends on the other bins, so each permitted size is tried as the one to open (longer pieces
 take the smallest that holds them), every bin is finally downsized to the smallest size that holds its contents, and the
@@ -14,6 +14,7 @@ empty table gives an empty result; other columns are neither read nor returned.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,8 @@ SIZES = (512, 1024, 2048, 4096)
 #: What a sequence costs beside its positions, in positions.
 OVERHEAD = 16
 SHARD = 50_000
+#: Most copies of equal rows that go to a shard together.
+HEAP = 256
 
 
 def n_words(text: Column) -> Column:
@@ -80,15 +83,19 @@ def pack_pieces(pieces: DataFrame, sizes: tuple[int, ...] = SIZES, shard: int =
     """
     sizes = tuple(sorted(sizes))
     top = sizes[-1]
-    cut = pieces.select("doc_id", "salt", F.col("length").alias("whole"),
-                        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / top))).alias("piece"))
-    cut = cut.select("doc_id", "salt", "piece", (F.col("piece") * top).alias("start"),
+    equal = pieces.groupBy("doc_id", "length", "salt").agg(F.count("*").alias("n"))
+    heaps = equal.select("doc_id", "length", "salt", "n", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / HEAP))).alias("heap"))
+    cut = heaps.select("doc_id", "salt", F.col("length").alias("whole"), "heap",
+                       F.least(F.lit(HEAP), F.col("n") - F.col("heap") * HEAP).cast("long").alias("copies"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / top))).alias("piece"))
+    cut = cut.select("doc_id", "salt", "heap", "copies", "piece", (F.col("piece") * top).alias("start"),
                      F.least(F.lit(top), F.col("whole") - F.col("piece") * top).cast("long").alias("length"))
     total = pieces.agg(F.sum(F.ceil(F.col("length") / F.lit(top)))).first()[0] or 0
     shards = max(1, -(-int(total) // shard))
     schema = arrow_schema(OUT)
 
     def run(group: pa.Table) -> pa.Table:
+        group = group.take(pa.array(np.repeat(np.arange(len(group)), group["copies"].to_numpy())))
         group = group.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")])
         _, place, final = pack(group["length"].to_pylist(), sizes)
         bins = [b for b, _ in place]
@@ -96,8 +103,9 @@ def pack_pieces(pieces: DataFrame, sizes: tuple[int, ...] = SIZES, shard: int =
                    pa.array([o for _, o in place], pa.int64()), group["doc_id"], group["piece"], group["start"], group["length"]]
         return pa.table(columns, schema=schema)
 
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "salt"), F.lit(shards)))
-    return dealt.drop("salt").groupBy("shard").applyInArrow(run, OUT)
+    first = F.pmod(F.xxhash64("doc_id", "piece", "salt"), F.lit(shards))
+    dealt = cut.withColumn("shard", F.pmod(first + F.col("heap"), F.lit(shards)))
+    return dealt.drop("salt", "heap").groupBy("shard").applyInArrow(run, OUT)
 
 
 def pack_documents(docs: DataFrame, sizes: tuple[int, ...] = SIZES, shard: int = SHARD) -> DataFrame:

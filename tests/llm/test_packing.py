@@ -82,3 +82,17 @@ def test_shards(spark):
     total = sum(r["length"] for r in rows)
     used = sum(size for _, _, size in {(r["shard"], r["bin"], r["bin_size"]) for r in rows})
     assert used < 1.25 * total
+
+
+def test_equal_rows_are_spread_over_the_shards(spark):
+    hot = [(None, None, "en", "s", 0)] * 700 + [(5, "w " * 299, "en", "s", 1)] * 700
+    docs = frame(spark, hot + [(i, f"{i} word", "en", "s", 1) for i in range(10, 1410)])
+    rows = packing.pack_documents(docs, sizes=(64, 128, 256), shard=500).collect()
+    by_shard = {}
+    for r in rows:
+        by_shard[r["shard"]] = by_shard.get(r["shard"], 0) + 1
+    assert len(by_shard) == 7 and max(by_shard.values()) < 1000
+    want = {r["doc_id"]: [] for r in docs.collect()}
+    for r in docs.collect():
+        want[r["doc_id"]] += cut_of(len((r["text"] or "").split()) + 1, 256)
+    check(rows, {k: sorted(v) for k, v in want.items()}, (64, 128, 256))
