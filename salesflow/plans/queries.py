@@ -496,7 +496,7 @@ def forecast_bounds(spark, sf_dir):
     """Of every forecast region whether its months lie within the sales it was trained on."""
     feed = TT.sales_feed(spark, sf_dir).select("region", "date_vente", *TIES)
     ends = feed.groupBy("region").agg(F.min("total_sales").alias("low"), F.max("total_sales").alias("high"))
-    found = FC.forecast_sales(feed, TIES, trees=10, depth=8).join(ends, "region")
+    found = _forecasts(spark, sf_dir).join(ends, "region")
     months = [F.col(f"forecast_m{i}").between(F.col("low").cast("double"), F.col("high").cast("double")) for i in (1, 2, 3)]
     return found.select("region", (months[0] & months[1] & months[2] & (F.col("rmse") > 0)).alias("within"))
 
