@@ -131,7 +131,7 @@ def slots(positives: list[int], least: int, most: int) -> list[tuple[int, int]]:
         if low <= high:
             tops[high] = min(low, tops.get(high, low))
     highs = sorted(tops, reverse=True)
-    return [(max(tops[high], below + 1), high) for high, below in zip(highs, [*highs[1:], LEAST], strict=True)]
+    return [(max(tops[high], below + 1), high) for high, below in zip(highs, [*highs, LEAST][1:], strict=True)]
 
 
 def pairs(anchors: DataFrame, rows: DataFrame) -> DataFrame:
