@@ -1,10 +1,11 @@
 """Exact quantiles of number columns, at any scale.
 
 The value histogram of a decimal or whole-number column is searched by digits of 16 bits, most
-significant first. That of a double column is searched by ever narrower ranges, each cut into
-4,096 parts, down to a single value. Each round counts a bounded number of buckets per
-searched rank and hands a few of them to the driver, so neither a task nor the driver ever
-holds the values of a column, however many distinct ones there are.
+significant first. That of a double column is searched by sign and sixteenth of a binade first, which
+leaves at most 2^48 values to a range, and then by ranges cut into 65,536 parts: four rounds
+in all, whatever the values. Each round counts a bounded number of buckets per searched rank
+and hands a few of them to the driver, so neither a task nor the driver ever holds the values
+of a column, however many distinct ones there are.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DIGIT_BITS = 16
-PARTS = 4096
+PARTS = 1 << 16
+BINADE_PARTS = 16
 WHOLE_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 # Searched ranks map to (bits found so far, rank inside that bucket).
@@ -89,39 +91,65 @@ def _double_quantiles(hist: Histogram, column: str, probs: list[float]) -> list[
     """
     value = F.col(column).cast("double")
     values = hist.counts.where(value.isNotNull() & ~F.isnan(value)).select(value.alias("_v"), "_rows")
-    ends = values.agg(F.sum("_rows").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")).first()
-    if not ends["n"]:
-        return None
-    total = ends["n"]
-    ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
-    found = {r: (ends["low"], ends["high"], r) for r in ranks}
+    total, found = _first_ranges(values, probs)
     while any(low < high for low, high, _ in found.values()):
         open_ranges = sorted({(low, high) for low, high, _ in found.values() if low < high})
         parts = [_part(low, high).alias(f"_p{i}") for i, (low, high) in enumerate(open_ranges)]
         placed = values.select("_v", "_rows", F.posexplode(F.array(*parts)).alias("_range", "_part")).where("_part IS NOT NULL")
-        counted = placed.groupBy("_range", "_part").agg(
-            F.sum("_rows").alias("_n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
-        order = Window.partitionBy("_range").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
         hit = F.lit(False)
         for low, high, rank in set(found.values()):
             if low < high:
-                inside = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
-                hit = hit | (inside & (F.col("_range") == open_ranges.index((low, high))))
-        rows = counted.withColumn("_upto", F.sum("_n").over(order)).where(hit).collect()  # one per rank at most
+                hit = hit | (_holds(rank) & (F.col("_range") == open_ranges.index((low, high))))
+        rows = _parts_upto(placed).where(hit).collect()  # one per rank at most
         for wanted, (low, high, rank) in found.items():
             if low < high:
                 here = open_ranges.index((low, high))
-                row = next(r for r in rows if r["_range"] == here and r["_upto"] - r["_n"] <= rank < r["_upto"])
-                found[wanted] = (row["low"], row["high"], rank - (row["_upto"] - row["_n"]))
-    return _interpolated({r: low for r, (low, _, _) in found.items()}, total, probs)
+                found[wanted] = _range_of([r for r in rows if r["_range"] == here], rank)
+    return _interpolated({r: low for r, (low, _, _) in found.items()}, total, probs) if total else None
+
+
+def _first_ranges(values: DataFrame, probs: list[float]) -> tuple[int, dict[int, tuple[float, float, int]]]:
+    """Number of rows, and for each searched rank the values of its sign and part of a binade, and its rank in there."""
+    size = F.floor(F.least(F.log2(F.abs("_v")), F.lit(2000.0)) * BINADE_PARTS) + 40_000  # positive for every double
+    part = F.when(F.col("_v") > 0, size).when(F.col("_v") < 0, -size).otherwise(0)
+    ranked = _parts_upto(values.select("_v", "_rows", F.lit(0).alias("_range"), part.alias("_part")))
+    ranked = ranked.withColumn("_total", F.sum("_n").over(Window.partitionBy("_range")))
+    hit = F.lit(False)
+    for p in probs:
+        place = F.lit(p) * (F.col("_total") - 1)
+        for rank in (F.floor(place), F.ceil(place)):
+            hit = hit | _holds(rank)
+    rows = ranked.where(hit).collect()  # at most two per quantile
+    if not rows:
+        return 0, {}
+    total = rows[0]["_total"]
+    ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+    return total, {r: _range_of(rows, r) for r in ranks}
+
+
+def _parts_upto(placed: DataFrame) -> DataFrame:
+    """Rows, least and greatest value per part of a range, and the rows up to it."""
+    counted = placed.groupBy("_range", "_part").agg(F.sum("_rows").alias("_n"), F.min("_v").alias("low"), F.max("_v").alias("high"))
+    order = Window.partitionBy("_range").orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)
+    return counted.withColumn("_upto", F.sum("_n").over(order))
+
+
+def _holds(rank: Column | int) -> Column:
+    return (F.col("_upto") > rank) & (F.col("_upto") - F.col("_n") <= rank)
+
+
+def _range_of(rows: list, rank: int) -> tuple[float, float, int]:
+    """The values of the part that holds a rank, and the rank among them."""
+    row = next(r for r in rows if r["_upto"] - r["_n"] <= rank < r["_upto"])
+    return row["low"], row["high"], rank - (row["_upto"] - row["_n"])
 
 
 def _part(low: float, high: float) -> Column:
     """The part of a range that a value is in, NULL outside; the last part holds the upper end alone."""
-    width = high / 2 - low / 2  # halves, as the difference may overflow
-    inner = F.lit(0)
-    if width > 0:
-        inner = F.least(F.floor((F.col("_v") / 2 - low / 2) / width * PARTS), F.lit(PARTS - 1)).cast("int")
+    scale = 1.0 if math.isfinite(high - low) else 0.5
+    width, inner = high * scale - low * scale, F.lit(0)
+    if 0 < width < math.inf:
+        inner = F.least(F.floor((F.col("_v") * scale - low * scale) / width * PARTS), F.lit(PARTS - 1)).cast("int")
     return F.when(F.col("_v") == high, PARTS).when(F.col("_v").between(low, high), inner)
 
 

@@ -9,22 +9,19 @@ bounded whatever the number of sales.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators.forest import forest_predictions
 from salesflow.operators.normalize import calendar_features
 from salesflow.operators.split import can_forecast, flag_train, split_points
-from salesflow.session import checkpointed
+from salesflow.session import written
 
 FEATURES = ["month_num", "year_num", "day_of_week"]
 HORIZON = 3
 SHARDS = 16
-FIT_THREADS = 5
 #: The engine's limit; the trees are meant to be full.
 DEPTH = 30
 
@@ -66,55 +63,34 @@ def forecast_sales(df: DataFrame, ties: list[str], trees: int = 100, depth: int
                    seed: int = 42, pooled: bool = False) -> DataFrame:
     """RMSE on the last fifth and three monthly forecasts per eligible region.
 
-    A forest per region, whatever their number; with `pooled` one forest over all of them, with
-    the region as a further feature. Regions with too few sales are left out.
+    A forest per region, all grown at once whatever their number; with `pooled` one forest over
+    all of them, with the region as a further feature. Regions with too few sales are left out.
     """
     spark = df.sparkSession
     # The columns that matter are stored once, as the split reads them in several narrow passes.
-    narrow = checkpointed(df.select(*dict.fromkeys(["region", "date_vente", "total_sales", *ties])))
+    narrow = written(df.select(*dict.fromkeys(["region", "date_vente", "total_sales", *ties])), "sales")
     held = split_points(narrow, ties)
-    points = held.where(can_forecast())
-    summed = checkpointed(forecast_training(flag_train(narrow, points, ties), ties, shards))
-    future = checkpointed(frame_after(points))
-    regions = [r["region"] for r in points.select("region").collect()]  # names of the region dimension
+    points = written(held.where(can_forecast()), "points")
     held.unpersist()
-    if not regions:
+    if points.isEmpty():
         return spark.createDataFrame(
             [], "region string, rmse double, forecast_m1 double, forecast_m2 double, forecast_m3 double"
         )
-    bins = max(32, summed.select("year_num").distinct().count(), len(regions) if pooled else 0)
-    forest = RandomForestRegressor(
-        featuresCol="_x", labelCol="mean_sales", weightCol="n_sales", predictionCol="predicted", numTrees=trees,
-        maxDepth=depth, maxBins=bins, featureSubsetStrategy="all", minInstancesPerNode=1, seed=seed,
-    )
+    summed = written(forecast_training(flag_train(narrow, points, ties), ties, shards), "cells")
+    future = frame_after(points)
+    tested = summed.where("not is_train")
     if pooled:
-        predicted = _fit_pooled(forest, summed, future)
-    else:
-        def fit(region: str) -> tuple[DataFrame, DataFrame]:
-            return _fit_region(forest, summed, future, region)
-
-        with ThreadPoolExecutor(FIT_THREADS) as pool:
-            fitted = list(pool.map(inheritable_thread_target(spark)(fit), sorted(regions)))
-        predicted = tuple(_union(list(frames)) for frames in zip(*fitted, strict=True))
-    return _forecast_table(*predicted)
-
-
-def _union(frames: list[DataFrame]) -> DataFrame:
-    """Union by halves, so that the plan of many frames stays shallow."""
-    if len(frames) == 1:
-        return frames[0]
-    half = len(frames) // 2
-    return _union(frames[:half]).unionByName(_union(frames[half:]))
-
-
-def _fit_region(forest, summed: DataFrame, future: DataFrame, region: str) -> tuple[DataFrame, DataFrame]:
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="_x")
-    own = assembler.transform(summed.where(F.col("region") == region))
-    # One region is at most months * weekdays * shards rows, so a single partition holds it;
-    # in a fixed order the bootstrap draws the same rows in every run.
-    model = forest.fit(own.where("is_train").coalesce(1).sortWithinPartitions(*FEATURES, "shard"))
-    ahead = assembler.transform(future.where(F.col("region") == region))
-    return model.transform(own.where("not is_train")), model.transform(ahead)
+        bins = max(32, summed.select("year_num").distinct().count(), points.count())
+        forest = RandomForestRegressor(
+            featuresCol="_x", labelCol="mean_sales", weightCol="n_sales", predictionCol="predicted", numTrees=trees,
+            maxDepth=depth, maxBins=bins, featureSubsetStrategy="all", minInstancesPerNode=1, seed=seed,
+        )
+        return _forecast_table(*_fit_pooled(forest, summed, future))
+    cell = ["region", *FEATURES]
+    asked = tested.select(*cell).unionByName(future.select(*cell))
+    predicted = forest_predictions(summed.where("is_train"), asked, "region", FEATURES, "shard", "n_sales", "sum_sales", trees, depth, seed)
+    predicted = written(predicted, "predicted")
+    return _forecast_table(tested.join(predicted, cell), future.join(predicted, cell))
 
 
 def _fit_pooled(forest, summed: DataFrame, future: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,11 @@ def _region() -> Column:
 
 def view_region_month(star: Star) -> DataFrame:
     """Units, sales, mean price, profit and margin per month, region, product and brand."""
-    sums = monthly_sums(star.fact, ["region_id", "produit_id"], KPI_SUMS, KPI_MEANS)
+    return region_month_of(monthly_sums(star.fact, ["region_id", "produit_id"], KPI_SUMS, KPI_MEANS), star)
+
+
+def region_month_of(sums: DataFrame, star: Star) -> DataFrame:
+    """The same from sums per month, region and product."""
     return (
         sums.join(star.region, "region_id")
         .join(star.produit, "produit_id")

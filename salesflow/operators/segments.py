@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import random
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow import schema as S
 from salesflow.session import checkpointed
 
 FEATURES = ["ca_total", "nb_transactions", "marge_moy"]
-FIT_THREADS = 5
 
 
 def scaled_features(features: DataFrame, columns: list[str] = FEATURES) -> DataFrame:
@@ -34,8 +30,57 @@ def scaled_features(features: DataFrame, columns: list[str] = FEATURES) -> DataF
     return features.withColumns(scaled)
 
 
-#: Most iterations of a start; clustering ends sooner once the centres stay.
+#: Most iterations; clustering ends sooner once the centres of all starts stay within TOLERANCE.
 ITERATIONS = 300
+TOLERANCE = 1e-4
+#: Rows from which starting centres are drawn.
+START_ROWS = 2_000
+
+
+def _nearest(centres: list[list[float]], columns: list[str]) -> Column:
+    """(squared distance, number) of the nearest of some centres; the first of equals."""
+    each = [F.struct(sum(((F.col(c) - F.lit(x)) * (F.col(c) - F.lit(x)) for c, x in zip(columns, centre, strict=True)), F.lit(0.0))
+                     .alias("distance"), F.lit(i).alias("number")) for i, centre in enumerate(centres)]
+    return F.array_min(F.array(*each))
+
+
+def _starts(data: DataFrame, columns: list[str], k: int, restarts: int, seed: int) -> list[list[list[float]]]:
+    """Centres to start from: rows far from those chosen before, drawn from at most START_ROWS rows by their hash."""
+    drawn = data.select(*columns).orderBy(F.xxhash64(*columns, F.lit(seed)), *columns).limit(START_ROWS).collect()
+    rows, found = [list(r) for r in drawn], []
+    for start in range(restarts):
+        draw = random.Random(seed + start)
+        centres = [draw.choice(rows)]
+        while len(centres) < k:
+            gaps = [min(sum((x - y) ** 2 for x, y in zip(row, c, strict=True)) for c in centres) for row in rows]
+            centres.append(draw.choices(rows, gaps)[0] if any(gaps) else draw.choice(rows))
+        found.append(centres)
+    return found
+
+
+def cluster_centres(data: DataFrame, columns: list[str], k: int, restarts: int, seed: int) -> tuple[float, list[list[float]]]:
+    """Cost and centres of the best of some starts of k-means.
+
+    Every pass over the rows moves the centres of all starts at once, so the number of passes does not depend on the number
+    of starts; what comes to the driver is a row per start and cluster. A cluster that has lost its rows stays where it is.
+    """
+    starts = _starts(data, columns, k, restarts, seed)
+    costs = [0.0] * restarts
+    for _ in range(ITERATIONS + 1):
+        near = F.array(*[_nearest(centres, columns) for centres in starts])
+        summed = data.select(*columns, F.posexplode(near).alias("start", "near")).groupBy("start", "near.number").agg(
+            F.count("*").alias("n"), F.sum("near.distance").alias("cost"), *[F.sum(c).alias(f"sum_{i}") for i, c in enumerate(columns)])
+        moved, costs = 0.0, [0.0] * restarts
+        for r in summed.collect():  # at most restarts * k rows
+            costs[r["start"]] += r["cost"]
+            centre = [r[f"sum_{i}"] / r["n"] for i in range(len(columns))]
+            before = starts[r["start"]][r["number"]]
+            moved = max(moved, sum((x - y) ** 2 for x, y in zip(centre, before, strict=True)))
+            starts[r["start"]][r["number"]] = centre
+        if moved <= TOLERANCE**2:
+            break
+    best = min(range(restarts), key=costs.__getitem__)
+    return costs[best], starts[best]
 
 
 def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:
@@ -44,24 +89,15 @@ def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed:
     Segments are numbered by falling mean sales, so 0 is Premium. Fewer than k retailers
     give no segments at all.
     """
-    spark = features.sparkSession
     rows = checkpointed(features)
     if rows.limit(k).count() < k:
         return rows.limit(0).withColumns({"segment": F.lit(0), "segment_label": F.lit("")})
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="_raw").transform(rows)
-    scaler = StandardScaler(inputCol="_raw", outputCol="_x", withMean=True, withStd=True).fit(assembled)
-    data = scaler.transform(assembled).drop("_raw").persist()
-    data.count()
-
-    def fit(start: int):
-        return KMeans(k=k, seed=start, maxIter=ITERATIONS, featuresCol="_x", predictionCol="_cluster").fit(data)
-
-    with ThreadPoolExecutor(FIT_THREADS) as pool:
-        models = list(pool.map(inheritable_thread_target(spark)(fit), range(seed, seed + restarts)))
-    best = min(models, key=lambda m: m.summary.trainingCost)
-    clustered = best.transform(scaler.transform(assembled).drop("_raw"))
+    scaled = {c: f"_scaled_{c}" for c in FEATURES}
+    both = scaled_features(rows.withColumns({new: F.col(c) for c, new in scaled.items()}), list(scaled.values())).persist()
+    _, centres = cluster_centres(both, list(scaled.values()), k, restarts, seed)
+    clustered = both.withColumn("_cluster", _nearest(centres, list(scaled.values()))["number"])
     means = clustered.groupBy("_cluster").agg(F.avg("ca_total").alias("m")).collect()  # k rows
-    data.unpersist()
+    both.unpersist()
     ranks = {r["_cluster"]: i for i, r in enumerate(sorted(means, key=lambda r: (-r["m"], r["_cluster"])))}
     rank_of = F.create_map(*[F.lit(v) for pair in ranks.items() for v in pair])
     labels = F.array(*[F.lit(v) for v in S.SEGMENT_LABELS])

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from salesflow import schema as S
 from salesflow.functions.parsing import month_key
 from salesflow.operators.normalize import fill_texts
+from salesflow.session import sized
+from salesflow.sources.versions import VersionedTable
 
 # Dimension -> natural key, and the columns added to a new member.
 NATURAL_KEYS = {
@@ -80,6 +82,18 @@ def upsert_dimension(dimension: str, incoming: DataFrame, existing: DataFrame |
     return added if existing is None else existing.select(*added.columns).unionByName(added)
 
 
+def upsert_stored(dimension: str, incoming: DataFrame, table: VersionedTable) -> DataFrame:
+    """Add unseen members to a stored dimension and return it.
+
+    Several loaders may do so at once: the ids are those above the version the new rows are added to, and a loader that
+    finds another one has been first looks for unseen members again.
+    """
+    names = sized(incoming.select(*NATURAL_KEYS[dimension]).distinct())
+    table.add(lambda existing: new_members(dimension, names, existing))
+    names.unpersist()
+    return table.read()
+
+
 def members_of(records: DataFrame, dimension: str) -> DataFrame:
     """Natural keys of a dimension as the records name them, defaults filled in."""
     named = zip(RECORD_KEYS[dimension], NATURAL_KEYS[dimension])

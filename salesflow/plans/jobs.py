@@ -16,10 +16,11 @@ from salesflow.operators import reports as R
 from salesflow.operators.forecast import forecast_sales
 from salesflow.operators.normalize import add_month, detect_roles
 from salesflow.operators.segments import segment_retailers
-from salesflow.operators.star import NATURAL_KEYS, Star, load_fact, members_of, star_join, upsert_dimension
-from salesflow.session import checkpointed
+from salesflow.operators.star import NATURAL_KEYS, Star, load_fact, members_of, star_join, upsert_dimension, upsert_stored
+from salesflow.session import checkpointed, written
 from salesflow.sources.readers import read_table
 from salesflow.sources.sinks import drop_columns, export_table, replace_table, stamped, write_keyed
+from salesflow.sources.versions import VersionedTable
 from salesflow.streaming.gate import StreamGate, numbered
 
 
@@ -43,14 +44,15 @@ def file_tables(df: DataFrame, exact: bool = False) -> FileTables:
     """Roles, cleaning, months and the two KPI tables of one sales file.
 
     `clean` keeps all columns of the file; sales and units are doubles in it, and are summed
-    as decimals, so that the order of the rows does not matter.
+    as decimals, so that the order of the rows does not matter. The rows are stored by columns
+    in between: the fences read one of them, the sums three.
     """
     roles = detect_roles(df.columns, ("region", "date", "sales", "units"))
     sales, units, region = roles["sales"], roles["units"], roles["region"]
     typed = df.withColumns({c: P.to_number(P.quoted(c), S.AMOUNT) for c in (sales, units)})
     rows = C.drop_incomplete(P.nan_to_null(typed), [sales, region, units])
     rows = C.dedupe(C.non_negative(rows, [sales, units]))
-    kept = C.iqr_filter(checkpointed(rows), [sales], 1.5) if exact else C.iqr_filter_approx(rows, sales)
+    kept = C.iqr_filter(written(rows, "rows"), [sales], 1.5) if exact else C.iqr_filter_approx(rows, sales)
     dated = add_month(kept, roles["date"])
     flat = dated.select(P.quoted(region).alias("region"), P.quoted(sales).try_cast(S.SUMMED).alias("sales"), "mois")
     return FileTables(drop_columns(dated, "_date_parsed", "mois"), K.kpi_region_month(flat), K.kpi_trend(flat))
@@ -87,11 +89,11 @@ def run_file_job(df: DataFrame, root: str) -> None:
 
 
 def load_star(spark: SparkSession, records: DataFrame, root: str) -> Star:
-    """Write the dimensions, then the facts that look their ids up in the stored dimensions."""
-    dims = {}
-    for name in NATURAL_KEYS:
-        replace_table(upsert_dimension(name, members_of(records, name)), f"{root}/dim_{name}")
-        dims[name] = read_table(spark, f"{root}/dim_{name}")
+    """Add unseen members to the stored dimensions, then write the facts that look their ids up in these.
+
+    Known members keep their ids, also if two loads run at once.
+    """
+    dims = {d: upsert_stored(d, members_of(records, d), VersionedTable(spark, f"{root}/dim_{d}")) for d in NATURAL_KEYS}
     replace_table(load_fact(records, dims), f"{root}/fait_ventes", partition_by=["mois"])
     return Star(fact=read_table(spark, f"{root}/fait_ventes"), **dims)
 

@@ -274,6 +274,24 @@ ORACLE: dict[str, str] = {
     "csv_quoted": f"""WITH {FEED} SELECT {KEYS}, cast(total_sales AS double) AS total_sales,
         CASE WHEN l_linenumber % 3 = 0 THEN 'The "' || retailer || '", Ltd'
              ELSE retailer || chr(10) || 'branch ' || l_linenumber END AS retailer FROM feed""",
+    "csv_inferred": """SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS gaps,
+        cast(o_orderkey + CASE WHEN o_orderkey % 101 = 5 THEN 0.25 ELSE 0 END AS double) AS widened,
+        cast(o_orderkey * CASE WHEN o_orderkey % 103 = 7 THEN 100 ELSE 1 END AS double) AS floating,
+        CASE WHEN o_orderkey % 107 = 11 THEN 'n.v.' ELSE cast(o_orderkey AS varchar) END AS mixed,
+        cast(o_orderdate AS date) AS day, cast(NULL AS varchar) AS empty, 'a "' || o_orderstatus || '", b' AS quoted FROM orders""",
+    "csv_type_profile": """WITH texts AS (SELECT unnest([
+          {'column': 'key', 'v': k}, {'column': 'gaps', 'v': CASE WHEN o_orderkey % 3 <> 0 THEN k END},
+          {'column': 'widened', 'v': k || CASE WHEN o_orderkey % 101 = 5 THEN '.25' ELSE '' END},
+          {'column': 'floating', 'v': k || CASE WHEN o_orderkey % 103 = 7 THEN 'e2' ELSE '' END},
+          {'column': 'mixed', 'v': CASE WHEN o_orderkey % 107 = 11 THEN 'n.v.' ELSE k END},
+          {'column': 'day', 'v': strftime(o_orderdate, '%Y-%m-%d')}, {'column': 'empty', 'v': NULL},
+          {'column': 'quoted', 'v': 'a "' || o_orderstatus || '", b'}], recursive := true)
+          FROM (SELECT *, cast(o_orderkey AS varchar) AS k FROM orders)),
+        shapes AS (SELECT *, regexp_full_match(v, '[0-9]+([.][0-9]+)?') AS plain FROM texts)
+        SELECT "column", count(v) AS n, count(*) FILTER (regexp_full_match(v, '[0-9]+')) AS n_whole, count(*) FILTER (plain) AS n_plain,
+          count(*) FILTER (try_cast(v AS double) IS NOT NULL) AS n_double, count(*) FILTER (try_strptime(v, '%Y-%m-%d') IS NOT NULL) AS n_date,
+          max(CASE WHEN plain THEN length(regexp_extract(v, '^0*([0-9]*)', 1)) END) AS digits,
+          max(CASE WHEN plain THEN length(regexp_extract(v, '[.]([0-9]*)$', 1)) END) AS scale FROM shapes GROUP BY "column\"""",
     "file_export_wide": f"""WITH {WIDE}, {fenced('kept', 'wide_ok', 'sales', 1.5)}
         SELECT {KEYS}, units AS units_sold, sales AS total_sales FROM kept""",
     "file_region_wide": f"""WITH {WIDE}, {fenced('kept', 'wide_ok', 'sales', 1.5)},
@@ -409,3 +427,7 @@ ORACLE: dict[str, str] = {
         cast(sum(total_sales) AS double) AS ca, cast(sum(units_sold) AS double) AS unites
         FROM dirty WHERE batch_no IN (SELECT batch_no FROM scored WHERE status = 'PASSED') GROUP BY 1""",
 }
+
+#: The views kept by slices return what the plain ones do.
+ORACLE |= {"kept_region_month": ORACLE["view_region_month"], "kept_global_kpis": ORACLE["view_global_kpis"],
+           "kept_sales_by_month": ORACLE["report_sales_by_month"]}

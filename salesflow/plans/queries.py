@@ -13,6 +13,7 @@ from salesflow import schema as S
 from salesflow.functions import parsing as P
 from salesflow.operators import clean as C
 from salesflow.operators import forecast as FC
+from salesflow.operators import kept as KV
 from salesflow.operators import kpis as K
 from salesflow.operators import normalize as N
 from salesflow.operators import quality as Q
@@ -24,6 +25,7 @@ from salesflow.plans import jobs
 from salesflow.session import checkpointed, new_dir
 from salesflow.sources import readers, sinks
 from salesflow.sources import testtables as TT
+from salesflow.sources.inference import merged_profiles, type_profile
 from salesflow.streaming import events as EV
 from salesflow.streaming.gate import StreamGate, numbered
 
@@ -68,6 +70,26 @@ def csv_quoted(spark, sf_dir):
     return comparable(readers.read_csv(spark, path, named.schema, multiline=True))
 
 
+@query
+def csv_inferred(spark, sf_dir):
+    """A file whose columns turn out late to be wider than they looked, read without a schema."""
+    path = new_dir(spark, "untyped-csv")
+    TT.untyped_orders(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
+    return comparable(readers.read_csv(spark, path, infer=True))
+
+
+@query
+def csv_type_profile(spark, sf_dir):
+    """What the types are decided by, merged from the profiles of two files."""
+    rows = TT.untyped_orders(spark, sf_dir)
+    profiles = []
+    for odd in (0, 1):
+        path = new_dir(spark, "untyped-csv")
+        rows.where(F.col("key").cast("long") % 2 == odd).write.option("header", True).option("escape", '"').csv(path)
+        profiles.append(type_profile(readers.read_csv(spark, path)))
+    return merged_profiles(profiles[0].unionByName(profiles[1]))
+
+
 @query
 def header_normalize(spark, sf_dir):
     return N.normalize_headers(TT.text_feed(spark, sf_dir))
@@ -261,6 +283,33 @@ def view_region_month(spark, sf_dir):
     return comparable(R.view_region_month(TT.star(spark, sf_dir)))
 
 
+def _kept_sums(spark, sf_dir, dirty=False):
+    """Sums of the facts in five slices, one of which was loaded wrongly before and taken back."""
+    star = TT.star(spark, sf_dir, dirty=dirty)
+    part = F.pmod(F.col("o_orderkey"), F.lit(5))
+    wrong = star.fact.where(part == 2).withColumns({"total_sales": F.col("total_sales") + 1, "date_vente": F.date_add("date_vente", 4000)})
+    slices = [KV.slice_sums(wrong), *[KV.slice_sums(star.fact.where(part == i)) for i in range(5)], KV.slice_sums(wrong, -1)]
+    path = new_dir(spark, "sums")
+    for i, rows in enumerate(slices):
+        sinks.write_keyed(rows, path, "mb", i)
+    return KV.merged_sums(spark.read.parquet(path)), star
+
+
+@query
+def kept_region_month(spark, sf_dir):
+    return comparable(KV.kept_region_month(*_kept_sums(spark, sf_dir)))
+
+
+@query
+def kept_global_kpis(spark, sf_dir):
+    return comparable(KV.kept_global_kpis(_kept_sums(spark, sf_dir, dirty=True)[0]))
+
+
+@query
+def kept_sales_by_month(spark, sf_dir):
+    return comparable(KV.kept_sales_by_month(*_kept_sums(spark, sf_dir)))
+
+
 @query
 def view_global_kpis(spark, sf_dir):
     return comparable(R.view_global_kpis(TT.star(spark, sf_dir, dirty=True).fact))

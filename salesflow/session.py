@@ -58,6 +58,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it again: its lineage is cut, and columns can be read by themselves."""
+    path = new_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def sized(df: DataFrame) -> DataFrame:
     """Hold a small summary so that Catalyst knows its true size when it plans the next join.
 

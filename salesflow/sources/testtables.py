@@ -161,3 +161,19 @@ def event_sales(events: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast(S.UNITS).alias("units_sold"),
         F.when(F.col("event_id") % 7 == 3, (-value).cast(S.MONEY)).otherwise(value).alias("total_sales"),
     )
+
+
+def untyped_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as texts; some columns have a few values that ask for a wider type than all others."""
+    orders = table(spark, sf_dir, "orders")
+    key, text = F.col("o_orderkey"), F.col("o_orderkey").cast("string")
+    return orders.select(
+        text.alias("key"),
+        F.when(key % 3 == 0, "NA").otherwise(text).alias("gaps"),
+        F.when(key % 101 == 5, F.concat(text, F.lit(".25"))).otherwise(text).alias("widened"),
+        F.when(key % 103 == 7, F.concat(text, F.lit("e2"))).otherwise(text).alias("floating"),
+        F.when(key % 107 == 11, F.lit("n.v.")).otherwise(text).alias("mixed"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.lit(None).cast("string").alias("empty"),
+        F.concat(F.lit('a "'), "o_orderstatus", F.lit('", b')).alias("quoted"),
+    )

@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesflow.functions.parsing import quoted
 
 DAY = "_event_day"
+DIGEST = "_event_digest"
 
 
 def to_events(df: DataFrame, batch_id: str, event_time: Column | None = None) -> DataFrame:
@@ -68,24 +70,43 @@ def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[s
                      event_time: str = "event_time") -> None:
     """Drain everything available into a table that holds each event once, in whatever order events arrive.
 
-    A redelivered event has the time of the first delivery. So the rows of a micro-batch are
-    compared with the stored rows of the same event days only, which are read by partition;
-    nothing is ever too late. Every micro-batch is a slice of its own, and a replay writes the
-    slice anew.
+    A redelivered event has the time of the first delivery. Beside the rows, every micro-batch
+    stores a 64-bit digest of its keys per event day, in a folder named by the first and last
+    event time in it. A micro-batch looks into the digests only where these times overlap its
+    own, and reads stored rows only of the slices and days where a digest is met again; the keys
+    decide. So nothing is ever too late, and without redeliveries no stored row is read. Every
+    micro-batch is a slice of its own, and a replay writes the slice anew.
     """
     spark = stream.sparkSession
-    schema = T.StructType([*stream.schema.fields, T.StructField(DAY, T.DateType()), T.StructField("mb", T.LongType())])
+    digests = T.StructType([T.StructField(DIGEST, T.LongType())])
 
     def store(rows: DataFrame, mb: int) -> None:
-        fresh = rows.dropDuplicates(keys).withColumn(DAY, F.to_date(event_time))
-        if mb:
-            fresh = fresh.persist()
-            days = [r[DAY] for r in fresh.select(DAY).distinct().collect()]  # calendar days
-            known = spark.read.schema(schema).parquet(path).where((F.col("mb") < mb) & _among(F.col(DAY), days))
-            fresh.join(known.select(*keys), keys, "left_anti").write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
-            fresh.unpersist()
-        else:
-            fresh.write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
+        fresh = rows.dropDuplicates(keys).withColumns({DAY: F.to_date(event_time), DIGEST: _digest(keys)}).persist()
+        times = F.unix_micros(F.col(event_time).cast("timestamp"))
+        days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high")).collect()  # calendar days
+        met = [(r[DAY], k, there) for r in days for k, low, high, there in _digest_slices(spark, path, r[DAY])
+               if k < mb and (low is None or (low <= r["high"] and r["low"] <= high))]
+        if met:
+            known = spark.read.schema(digests).parquet(*[there for _, _, there in met])
+            again = fresh.join(known.withColumn("_slice", F.col("_metadata.file_path")), DIGEST)
+            hit = {r["_folder"] for r in again.select(F.regexp_extract("_slice", "(day=[^/]*/v=[^/]*)", 1).alias("_folder")).distinct().collect()}
+            where = [f"{path}/mb={k}/{DAY}={_folder(day)}" for day, k, there in met if "/".join(there.split("/")[-2:]) in hit]
+            if where:
+                known_keys = _stored(spark, T.StructType([f for f in stream.schema.fields if f.name in keys]), where)
+                left = fresh.join(known_keys, keys, "left_anti").persist()
+                left.count()
+                fresh.unpersist()
+                fresh = left
+                days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high")).collect()
+        fresh.drop(DIGEST).write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
+        if days:
+            named = spark.createDataFrame([(r[DAY], _folder(r[DAY]), f"{mb}_{r['low']}_{r['high']}") for r in days],
+                                          T.StructType([T.StructField(DAY, T.DateType()), T.StructField("day", T.StringType()),
+                                                        T.StructField("v", T.StringType())]))
+            kept = fresh.select(DAY, DIGEST).join(named, fresh[DAY].eqNullSafe(named[DAY])).select("day", "v", DIGEST)
+            kept.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                "day", "v").parquet(f"{path}/_digests")
+        fresh.unpersist()
 
     query = (
         stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -93,9 +114,34 @@ def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[s
     query.awaitTermination()
 
 
-def _among(day: Column, days: list) -> Column:
-    named = day.isin([d for d in days if d is not None])
-    return named | day.isNull() if None in days else named
+def _digest(keys: list[str]) -> Column:
+    return F.xxhash64(*[quoted(k) for k in keys])
+
+
+def _stored(spark: SparkSession, schema: T.StructType, paths: list[str]) -> DataFrame:
+    """Some columns of stored slices, each of one micro-batch and day."""
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _folder(day) -> str:
+    """The name under which a partitioned table keeps a day."""
+    return "__HIVE_DEFAULT_PARTITION__" if day is None else str(day)
+
+
+def _digest_slices(spark: SparkSession, path: str, day) -> list[tuple[int, int | None, int | None, str]]:
+    """(micro-batch, first time, last time, path) of the digests of a day; events without a time have none."""
+    name = f"{path}/_digests/day={_folder(day)}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(name)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        version = status.getPath().getName()
+        mb, low, high = version.removeprefix("v=").split("_")
+        ends = (None, None) if low == "None" else (int(low), int(high))
+        found.append((int(mb), *ends, f"{name}/{version}"))
+    return found
 
 
 def read_deduplicated(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,5 +1,6 @@
 """Parsing, cleaning and exact quantiles."""
 
+import math
 import random
 from decimal import Decimal
 
@@ -17,7 +18,7 @@ from salesflow.functions.quantiles import exact_quantiles, histogram
 from salesflow.operators import clean as C
 from salesflow.operators import normalize as N
 from salesflow.plans import jobs
-from salesflow.sources.readers import read_csv
+from salesflow.sources.readers import read_csv, read_table
 
 
 def one(spark, value, dtype, expr):
@@ -198,9 +199,48 @@ def test_file_job_writes_three_tables(spark, tmp_path):
     rows = [("N", "2024-01-05", float(i), "2") for i in range(20)] + [("N", "1/7/2024", 1e9, "2"), ("S", "bad", 3.0, "1")]
     df = spark.createDataFrame(rows, "`Region` string, `Invoice Date` string, `Total Sales` double, `Units Sold` string")
     jobs.run_file_job(df, str(tmp_path))
-    clean = spark.read.parquet(f"{tmp_path}/fait_ventes_clean")
+    clean = read_table(spark, f"{tmp_path}/fait_ventes_clean")
     assert clean.columns == ["region", "invoice_date", "total_sales", "units_sold"] and clean.count() == 21
-    region = {(r.region, r.mois): r.count_transactions for r in spark.read.parquet(f"{tmp_path}/kpi_ventes_region").collect()}
+    region = {(r.region, r.mois): r.count_transactions for r in read_table(spark, f"{tmp_path}/kpi_ventes_region").collect()}
     assert region == {("N", "2024-01"): 20, ("S", None): 1}
-    trend = spark.read.parquet(f"{tmp_path}/kpi_tendance_temporelle")
+    trend = read_table(spark, f"{tmp_path}/kpi_tendance_temporelle")
     assert trend.count() == 2 and "computed_at" in trend.columns
+
+
+def settled(df, column, probs, monkeypatch):
+    """Quantiles of a column and the number of times rows came to the driver on the way."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    hist, calls, plain = histogram(df, [column]), [], DataFrame.collect
+    with monkeypatch.context() as patched:
+        patched.setattr(DataFrame, "collect", lambda self: calls.append(1) or plain(self))
+        found = exact_quantiles(hist, column, probs)
+    hist.release()
+    return found, len(calls)
+
+
+PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
+
+
+@pytest.mark.parametrize("kind", ["decades", "ties", "close", "signs", "subnormal", "one"])
+def test_quantiles_of_any_doubles_take_few_rounds(spark, monkeypatch, kind):
+    rnd = random.Random(3)
+    values = {
+        "decades": [rnd.choice([-1, 1]) * 10.0 ** rnd.uniform(-300, 300) for _ in range(3000)],
+        "ties": [float(rnd.choice([1, 1, 1, 2, 1e300, -1e-300])) for _ in range(2000)],
+        "close": [1.0 + rnd.randrange(5000) * 2.0**-52 for _ in range(3000)],
+        "signs": [rnd.uniform(-1, 1) * 1.7e308 for _ in range(1000)] + [0.0, -0.0],
+        "subnormal": [rnd.randrange(-50, 50) * 5e-324 for _ in range(500)],
+        "one": [3.5],
+    }[kind]
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+    found, rounds = settled(df, "v", PROBS, monkeypatch)
+    assert found == pytest.approx(list(np.quantile(np.array(values), PROBS)), rel=1e-15, abs=0) if kind != "signs" else True
+    ordered = sorted(values)
+    assert found[0] == ordered[0] and found[-1] == ordered[-1] and rounds <= 5
+    assert all(ordered[math.floor(p * (len(values) - 1))] <= f <= ordered[math.ceil(p * (len(values) - 1))] for p, f in zip(PROBS, found, strict=True))
+
+
+def test_quantiles_without_values(spark, monkeypatch):
+    df = spark.createDataFrame([(None,), (float("nan"),)], "v double")
+    assert settled(df, "v", PROBS, monkeypatch)[0] is None

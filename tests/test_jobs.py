@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from salesflow.plans import jobs
 from salesflow.sources import testtables as TT
+from salesflow.sources.readers import read_table
 from salesflow.streaming import events as EV
 
 
@@ -15,7 +16,7 @@ def test_stream_job_fills_every_table(spark, small, tmp_path):
     EV.publish_files(EV.to_events(feed, "b1"), topic, files=3)
     stream = EV.decode(EV.stream_files(spark, topic, files_per_trigger=1), feed.schema)
     jobs.run_stream_job(stream, root, trees=5)
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    read = lambda name: read_table(spark, f"{root}/{name}")
     assert read("dq_log").agg(F.sum("total_rows")).first()[0] == feed.count() == read("fact").count()
     assert read("kpis_agreg").agg(F.sum("ca_total")).first() == read("ventes_clean").agg(F.sum("total_sales")).first()
     assert read("ml_forecasts").count() == 5

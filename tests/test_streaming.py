@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from salesflow.operators import kept as KV
 from salesflow.operators import quality as Q
+from salesflow.operators import reports as R
+from salesflow.plans import jobs
 from salesflow.sources import testtables as TT
 from salesflow.streaming import events as EV
 from salesflow.streaming.gate import BATCH, StreamGate, numbered
@@ -217,3 +220,128 @@ def test_raw_events_are_scored_as_texts_and_loaded_typed(spark, tmp_path):
     assert {str(r.date_vente) for r in fact.collect()} == {"2024-01-05", "2024-01-06", "2024-01-07"}
     assert {float(r.operating_margin) for r in fact.collect()} == {0.315}
     assert gate.table("dq_log").where("checked_at IS NOT NULL").count() == 3
+
+
+def reads_of(gate):
+    """What each micro-batch reads of earlier ones: (files, rows) by table."""
+    seen, plain = [], gate._parquet
+
+    def counting(schema, *paths):
+        found = plain(schema, *paths)
+        seen.append((paths[0].split("/")[len(gate.root.split("/"))], len(found.inputFiles()), found.count()))
+        return found
+
+    gate._parquet = counting
+    return seen
+
+
+def test_what_a_micro_batch_reads_does_not_grow(spark, events, tmp_path):
+    """A steady feed: the twelfth micro-batch reads what the third one read, without any broadcast too."""
+    rows = numbered(TT.event_sales(events), batch_size=10).persist()
+    gate = StreamGate(spark, str(tmp_path), rows.schema, batch_size=10)
+    seen, reads = reads_of(gate), {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        for mb in range(12):
+            gate.process(rows.where(f"seq >= {mb * 35} and seq < {mb * 35 + 35}"), mb)
+            reads[mb], seen[:] = sorted(seen), []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {table for table, _, _ in reads[11]} == {"open", "state"}
+    for mb in (3, 5, 7, 9, 11):  # half a batch is open after each of these
+        assert [rows_ for table, _, rows_ in reads[mb] if table == "open"] == [5]
+        assert sum(files for _, files, _ in reads[mb]) <= sum(files for _, files, _ in reads[3])
+        assert sum(files for table, files, _ in reads[mb] if table == "state") == 1  # one version of one range
+    gate.flush()
+    assert gate.table("dq_log").count() == 42 and gate.table("accepted").count() + gate.table("rejects").count() == 420
+    assert len(os.listdir(tmp_path / "state" / "p=0" / "r=0")) == 2  # spent versions are deleted
+    rows.unpersist()
+
+
+def test_late_rows_read_their_slices_only(spark, events, tmp_path, monkeypatch):
+    monkeypatch.setattr("salesflow.streaming.gate.RANGE", 4)
+    rows = numbered(TT.event_sales(events), batch_size=10).where("seq < 400").persist()
+    late = "seq % 10 = 3 and seq div 10 in (2, 17, 31)"
+    gate = StreamGate(spark, str(tmp_path), rows.schema, batch_size=10)
+    for mb in range(8):
+        gate.process(rows.where(f"seq >= {mb * 50} and seq < {mb * 50 + 50} and not ({late})"), mb)
+    gate.flush()
+    seen = reads_of(gate)
+    for _ in range(2):  # delivered twice
+        gate.process(rows.where(f"seq div 10 in (2, 17) and {late}"), 8)
+    gate.flush()
+    tables = [table for table, _, _ in seen]
+    assert tables.count("state") == 2 * 2 and max(rows_ for table, _, rows_ in seen if table == "state") <= 2 * 4  # two ranges
+    assert set(tables) <= {"state", "accepted", "rejects", "open"}
+    gate.process(rows.where(f"seq div 10 = 31 and {late}"), 9)
+    want = Q.score_batches(rows, BATCH)
+    assert gate.table("dq_log").count() == 40 and same(comparable(gate.table("dq_log")), comparable(Q.dq_log(want, BATCH)))
+    accepted, rejected = Q.gate(rows, Q.dq_log(want, BATCH), BATCH)
+    assert same(gate.table("accepted"), accepted) and gate.table("rejects").count() == rejected.count()
+    rows.unpersist()
+
+
+def deduplicated(spark, tmp_path, parts, schema, monkeypatch=None):
+    """The rows of run_deduplicated over micro-batches, and the stored slices that each of them read."""
+    folder, read = str(tmp_path / "in"), []
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        for name in os.listdir(folder):
+            if name.endswith(".parquet") and not os.path.exists(f"{folder}/{name}.seen"):
+                os.utime(f"{folder}/{name}", (1.6e9 + 10 * i, 1.6e9 + 10 * i))
+                open(f"{folder}/{name}.seen", "w").close()
+    stream = EV.stream_table(spark, folder, "*.parquet", schema, files_per_trigger=1)
+    plain = EV._stored
+    monkeypatch.setattr(EV, "_stored", lambda spark, schema, paths: read.append(sorted(paths)) or plain(spark, schema, paths))
+    EV.run_deduplicated(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["seq"])
+    return EV.read_deduplicated(spark, str(tmp_path / "out"), schema), read
+
+
+def test_without_redeliveries_no_stored_row_is_read(spark, events, tmp_path, monkeypatch):
+    rows = TT.event_sales(events).where("seq < 400").select("seq", "event_time").persist()
+    parts = [rows.where(f"seq % 4 = {k}") for k in range(4)]  # all of the same days, interleaved
+    out, read = deduplicated(spark, tmp_path, parts, rows.schema, monkeypatch)
+    assert same(out, rows) and read == []
+    rows.unpersist()
+
+
+def test_redeliveries_read_the_slices_they_are_in(spark, tmp_path, monkeypatch):
+    day = "timestamp'2024-01-01' + make_interval(0, 0, 0, seq div 100, 0, 0, seq % 100)"
+    rows = spark.range(1000).selectExpr("id AS seq").selectExpr("seq", f"CASE WHEN seq % 50 = 49 THEN NULL ELSE {day} END AS event_time")
+    cut = [(0, 300), (300, 600), (600, 1000), (250, 310)]
+    parts = [rows.where(f"seq >= {a} and seq < {b}") for a, b in cut]
+    out, read = deduplicated(spark, tmp_path, parts, rows.schema, monkeypatch)
+    assert same(out, rows) and len(read) == 1
+    kept = {path.split("out/")[1] for path in read[0]}
+    assert kept == {"mb=0/_event_day=2024-01-03", "mb=1/_event_day=2024-01-04", "mb=0/_event_day=__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_equal_digests_are_no_redelivery(spark, tmp_path, monkeypatch):
+    """With a digest of two values everything is met again, and the keys decide."""
+    monkeypatch.setattr(EV, "_digest", lambda keys: F.pmod(F.col(keys[0]), F.lit(2)))
+    rows = spark.range(200).selectExpr("id AS seq", "timestamp'2024-01-01' AS event_time")
+    out, read = deduplicated(spark, tmp_path, [rows.where("seq < 100"), rows.where("seq >= 90")], rows.schema, monkeypatch)
+    assert same(out, rows) and len(read) == 1
+
+
+def test_kept_views_equal_the_batch_views(spark, small, tmp_path, monkeypatch):
+    """After late rows, replays and merges the sums give the views of the facts that hold."""
+    monkeypatch.setattr("salesflow.streaming.gate.MERGE_AFTER", 3)
+    records = TT.sales_feed(spark, small).where("o_orderkey < 900").withColumn("seq", F.dense_rank().over(Window.orderBy(*TT.FEED_KEYS)) - 1)
+    rows = numbered(records.drop("batch_no"), batch_size=20).persist()
+    late = "seq % 20 = 7 and seq div 20 in (1, 4, 9)"
+    gate = StreamGate(spark, str(tmp_path), rows.schema, star=True, batch_size=20)
+    cuts = [0, 70, 130, 190, 260]
+    for mb in range(4):
+        gate.process(rows.where(f"seq >= {cuts[mb]} and seq < {cuts[mb + 1]} and not ({late})"), mb)
+    gate.flush()
+    for _ in range(2):
+        gate.process(rows.where(f"seq < 260 and {late}"), 4)
+    star = jobs.stream_star(gate)
+    assert os.path.isdir(tmp_path / "merged_sums")
+    assert star.fact.count() == rows.where("seq < 260").count()
+    assert same(KV.kept_region_month(gate.sums(), star), R.view_region_month(star))
+    assert same(KV.kept_sales_by_month(gate.sums(), star), R.sales_by_month(star))
+    assert same(KV.kept_global_kpis(gate.sums()), R.view_global_kpis(star.fact))
+    assert gate.sums().agg(F.sum("n_rows")).first()[0] == star.fact.count()
+    rows.unpersist()
