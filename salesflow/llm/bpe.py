@@ -5,7 +5,8 @@ the border anew. A sequence of tokens is an encoding if and only if every two ne
 own bytes, provided every token is that of its own (checked when the ranks are loaded). So the window has only to grow
 until its ends agree with the tokens beside it: those outside are then proven to stay. Decoding joins bytes up the tree.
 
-Spark gives each task its documents; what repeats in them is looked up in tables of bounded size.
+Spark gives each task its documents; what repeats in them (parts of texts, pieces, their halves, windows) is looked up in
+tables of bounded size.
 
 Defined cases: a null or empty text has no ids; any sequence of code points is encoded, runs without white space of any
 length in near-linear time; repeated rows come back once each; an empty table gives an empty result; other columns are
@@ -19,6 +20,7 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -30,13 +32,16 @@ from salesflow.llm.common import Held, arrow_schema, id_and_text, rows_out, text
 LEAF = 6
 #: Windows up to this many bytes are merged by plain search, longer ones with a heap.
 PLAIN = 48
-#: Entries that each table may hold, and as many old ones.
-HELD = 200_000
+#: Entries that each table may hold, and as many old ones; longer keys than KEPT are not held.
+HELD = 400_000
+KEPT = 48
 NONE = 1 << 40
 #: What the pattern's \s stands for; Python counts four control characters more.
 BLANKS = "\t-\r \x85\xa0  -     　"
 BORDER = re.compile(rf"(?<=\S)(?=[{BLANKS}])")
 NOT_SINGLE = re.compile(r" \s|\s ")
+#: Letters, then signs that are neither letters, numbers, blanks nor an apostrophe: the pattern cuts between them only.
+WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)").fullmatch
 DECODE_LEAF = 4096
 
 
@@ -46,7 +51,7 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.find = ranks, regex.compile(pattern).findall
         self.bytes_of = {rank: piece for piece, rank in ranks.items()}
-        self.memo, self.agree, self.after_space = Held(HELD), Held(HELD), Held(HELD)
+        self.memo, self.windows, self.agree, self.after_space = (Held(HELD) for _ in range(4))
         odd = [p for p, rank in ranks.items() if self.merge(p) != (rank,)]
         if odd or any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError(f"not a vocabulary of byte-level BPE: {len(odd)} tokens do not encode to themselves")
@@ -110,13 +115,22 @@ class Encoder:
             self.agree.put((a, b), found)
         return found
 
+    def window(self, piece: bytes) -> tuple[int, ...]:
+        """The encoding of the bytes around a border; short ones come up again and again."""
+        found = self.windows.find(piece)
+        if found is None:
+            found = self.merge(piece)
+            if len(piece) <= KEPT:
+                self.windows.put(piece, found)
+        return found
+
     def join(self, left: tuple[int, ...], right: tuple[int, ...]) -> tuple[int, ...]:
         """The encoding of two neighbours' bytes from their encodings."""
         if not left or not right or self.agrees(left[-1], right[0]):
             return left + right
         i = j = 1
         while True:
-            window = self.merge(b"".join([self.bytes_of[t] for t in (*left[-i:], *right[:j])]))
+            window = self.window(b"".join([self.bytes_of[t] for t in (*left[-i:], *right[:j])]))
             settled_left = i == len(left) or self.agrees(left[-i - 1], window[0])
             settled_right = j == len(right) or self.agrees(window[-1], right[j])
             if settled_left and settled_right:
@@ -136,52 +150,55 @@ class Encoder:
             else:
                 half = len(piece) // 2
                 found = self.join(self.encode_piece(piece[:half]), self.encode_piece(piece[half:]))
-            if len(piece) <= 64:
+            if len(piece) <= KEPT:
                 self.memo.put(piece, found)
         return found
 
-    def listed(self, segment: str) -> str:
-        """The ids of a stretch of text that ends before white space or with the text, as decimals joined by commas."""
-        return ",".join([str(i) for piece in self.find(segment)
-                         for i in self.encode_piece(piece.encode("utf-8", "surrogatepass"))])
+    def stretch(self, text: str) -> tuple[tuple[int, ...], str]:
+        """The ids of a stretch of text that ends before white space or with the text, and the same as decimals."""
+        ids = tuple(chain.from_iterable([self.encode_piece(p.encode("utf-8", "surrogatepass")) for p in self.find(text)]))
+        return ids, ",".join(map(str, ids))
+
+    def part(self, part: str) -> tuple[tuple[int, ...], str]:
+        """The same of what follows a single space, and that space; a word and the signs behind it are looked up apart."""
+        found = self.after_space.find(part)
+        if found is None:
+            cut = WORD(part)
+            if cut is None:
+                found = self.stretch(" " + part)
+            else:
+                word, signs = cut.groups()
+                ids = self.encode_piece(f" {word}".encode())
+                if signs:
+                    ids += self.encode_piece(signs.encode())
+                found = ids, ",".join(map(str, ids))
+            if len(part) <= KEPT:
+                self.after_space.put(part, found)
+        return found
 
-    def encode_listed(self, text: str) -> str:
-        """The ids of a whole text as decimals joined by commas.
+    def encode_parts(self, text: str) -> list[tuple[tuple[int, ...], str]]:
+        """(ids, decimals) of the parts of a whole text, in order.
 
         No match of the pattern goes on over white space that follows other characters, so the text is taken
         apart there: at single spaces, if there are no others beside white space.
         """
         if NOT_SINGLE.search(text):
-            return ",".join(filter(None, map(self.listed, BORDER.split(text))))
+            return [self.stretch(s) for s in BORDER.split(text) if s]
         first, *rest = text.split(" ")
         found = list(map(self.after_space.get, rest))
         if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self.miss(rest[i])
-        return ",".join(filter(None, [self.listed(first), *found]))
-
-    def miss(self, part: str) -> str:
-        found = self.after_space.find(part)
-        if found is None:
-            found = self.listed(" " + part)
-            if len(part) <= 48:
-                self.after_space.put(part, found)
-        return found
+            found = [self.part(s) if f is None else f for s, f in zip(rest, found, strict=True)]
+        return [self.stretch(first), *found] if first else found
 
     def encode(self, text: str) -> list[int]:
-        listed = self.encode_listed(text)
-        return [int(i) for i in listed.split(",")] if listed else []
+        return list(chain.from_iterable([ids for ids, _ in self.encode_parts(text)]))
 
-    def decode_listed(self, ids: Sequence[str]) -> bytes:
-        """The bytes of ids given as decimals: leaves are joined, then neighbours up the tree."""
+    def decode(self, ids: Sequence[int]) -> bytes:
+        """The bytes of ids: leaves are joined, then neighbours up the tree."""
         if len(ids) <= DECODE_LEAF:
-            return b"".join(map(self.text_of.__getitem__, ids))
+            return b"".join(map(self.bytes_of.__getitem__, ids))
         half = len(ids) // 2
-        return self.decode_listed(ids[:half]) + self.decode_listed(ids[half:])
-
-    def decode(self, ids: Sequence[int]) -> bytes:
-        return self.decode_listed(list(map(str, ids)))
+        return self.decode(ids[:half]) + self.decode(ids[half:])
 
 
 _loaded: dict[tuple[str, str], Encoder] = {}
@@ -206,10 +223,10 @@ def bpe_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
-                listed = coder.encode_listed(text)
-                ids = listed.split(",") if listed else []
-                rows.append((key, len(ids), hashlib.sha256(listed.encode()).hexdigest(),
-                             hashlib.sha256(coder.decode_listed(ids)).hexdigest()))
+                parts = coder.encode_parts(text)
+                ids = list(chain.from_iterable([ids for ids, _ in parts]))
+                rows.append((key, len(ids), hashlib.sha256(",".join([shown for _, shown in parts]).encode()).hexdigest(),
+                             hashlib.sha256(coder.decode(ids)).hexdigest()))
             yield rows_out(rows, schema)
 
     return id_and_text(docs).mapInArrow(run, OUT)

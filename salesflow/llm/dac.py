@@ -5,11 +5,14 @@ and so on. A bitmap beside each level says which ids go on, and a directory has
 the place of an id's next chunk is the rank of its bit. So any token is read by a few look-ups, without decoding a block.
 
 A file is a table of segments, each a self-contained binary block of whole documents in the order of their ids, with its
-own document directory. A segment holds about `SEGMENT` ids, or one document that has more.
+own document directory; the ids of its documents are a column beside it, so that a document is found without opening a
+block. A segment holds about `SEGMENT` ids, or one document that has more. Documents are dealt to tasks by ranges of
+(id, hash of text, number), so rows that share an id, or have none, are spread like any others.
 
 Defined cases: a null or empty text has the end id alone; a null doc_id comes before all others; equal doc_ids follow each
-other in the order of their texts; the literal of an added token in a text has that token's id, as in the library; an
-empty table gives no segment and an empty result; other columns are not read.
+other in the order of the hashes of their texts; the literal of an added token in a text has that token's id, as in the
+library; an empty table gives no segment and an empty result; other columns are not read. A token asked for beyond the end
+of a document, or of a document that is not there, is null; of documents with equal ids each has an answer.
 """
 
 from __future__ import annotations
@@ -26,14 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesflow.llm.common import arrow_schema, id_and_text, rows_out, texts
+from salesflow.llm.common import Held, arrow_schema, id_and_text, rows_out, texts
 from salesflow.session import new_dir
 
 CHUNK = 8
 BLOCK = 512
 SEGMENT = 1 << 18
 END = 2
-HELD = 400_000
+HELD = 300_000
+#: Requests for tokens of one segment that are answered together.
+ASKED = 50_000
 MAGIC = b"DAC1"
 
 
@@ -135,12 +140,14 @@ class Segment:
         return cls([int(k) if have else None for k, have in zip(keys, named, strict=True)], ends,
                    Codes.loads(data, 12 + 17 * n))
 
+    def length(self, document: int) -> int:
+        return int(self.ends[document] - (self.ends[document - 1] if document else 0))
+
     def token(self, document: int, i: int) -> int:
         """Token i of a document of the segment, read by itself."""
-        start = int(self.ends[document - 1]) if document else 0
-        if not 0 <= i < self.ends[document] - start:
+        if not 0 <= i < self.length(document):
             raise IndexError(i)
-        return self.codes[start + i]
+        return self.codes[int(self.ends[document - 1] if document else 0) + i]
 
 
 #: Texts of these characters only are cut as the tokenizer would cut them; any other goes through it whole.
@@ -164,20 +171,18 @@ class WordEncoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = str.maketrans({b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)})
-        self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.parts, self.words = Held(HELD), Held(HELD)
 
     def word(self, word: str) -> bytes:
-        found = self.words.get(word)
+        found = self.words.find(word)
         if found is None:
-            if len(self.words) >= HELD:
-                self.words.clear()
-            shown = word.encode().decode("latin-1").translate(self.letters)
-            found = self.words[word] = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(shown)])
+            self.words.put(word, found)
         return found
 
     def part(self, part: str) -> bytes:
-        found = self.parts.get(part)
+        found = self.parts.find(part)
         if found is None:
             if PLAIN.fullmatch(part):
                 found = b"".join(map(self.word, CUT(part.lower())))
@@ -185,9 +190,7 @@ class WordEncoder:
                 ids = self.tokenizer.encode(part, add_special_tokens=False).ids
                 found = np.array(ids, "<u4").tobytes()
             if len(part) <= 64:
-                if len(self.parts) >= HELD:
-                    self.parts.clear()
-                self.parts[part] = found
+                self.parts.put(part, found)
         return found
 
     def encode(self, text: str) -> bytes:
@@ -210,11 +213,17 @@ def word_encoder(path: str) -> WordEncoder:
     return _loaded[path]
 
 
+BLOCKS = "task long, number long, n_ids long, keys array<long>, data binary"
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, segment: int = SEGMENT) -> None:
     """Encode all documents in the order of their ids and write the segments below a path.
 
-    A range partition of the ids is encoded by one task; task and number order the segments.
+    A range partition is encoded by one task; task and number order the segments.
     """
+    schema = pa.schema([("task", pa.int64()), ("number", pa.int64()), ("n_ids", pa.int64()), ("keys", pa.list_(pa.int64())),
+                        ("data", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, task, number = word_encoder(tokenizer), TaskContext.get().partitionId(), 0
         last = end.to_bytes(4, "little")
@@ -222,7 +231,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, seg
 
         def block() -> pa.RecordBatch:
             data = Segment.build(keys, lengths, np.frombuffer(b"".join(held), "<u4")).dumps()
-            return rows_out([(task, number, size, data)], arrow_schema("task long, number long, n_ids long, data binary"))
+            return rows_out([(task, number, size, keys, data)], schema)
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), texts(batch), strict=True):
@@ -237,8 +246,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end: int = END, seg
         if keys:
             yield block()
 
-    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(run, "task long, number long, n_ids long, data binary")
+    order = ["doc_id", "hash", "row"]
+    rows = id_and_text(docs).withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    blocks = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, BLOCKS)
     blocks.write.option("compression", "zstd").parquet(path)
 
 
@@ -272,6 +282,36 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return blocks.select("task", "number", "data").join(starts, ["task", "number"]).select("start", "data").mapInArrow(run, OUT)
 
 
+def tokens_at(spark: SparkSession, path: str, requests: DataFrame) -> DataFrame:
+    """(doc_id, position, token) for every request (doc_id, position), positions counted from 0.
+
+    The segments asked for are found by their column of ids; each is opened in a task and answers by single look-ups.
+    """
+    blocks = spark.read.parquet(path)
+    asked = requests.select("doc_id", F.col("position").cast("long").alias("position")).distinct()
+    named = blocks.select("task", "number", F.posexplode("keys").alias("place", "key"))
+    where = asked.join(named, asked["doc_id"].eqNullSafe(named["key"]))
+    groups = max(1, -(-asked.count() // ASKED))
+    part = F.pmod(F.xxhash64("doc_id", "position"), F.lit(groups))
+    together = where.groupBy("task", "number", part.alias("part")).agg(
+        F.collect_list(F.struct("doc_id", "position", "place")).alias("asked"))
+    schema = arrow_schema("doc_id long, position long, token long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for few, data in zip(batch.column(0), batch.column(1), strict=True):
+                part, out = Segment.loads(data.as_py()), []
+                for r in few.as_py():
+                    known = r["position"] is not None and 0 <= r["position"] < part.length(r["place"])
+                    out.append((r["doc_id"], r["position"], part.token(r["place"], r["position"]) if known else None))
+                yield rows_out(out, schema)
+
+    found = together.join(blocks.select("task", "number", "data"), ["task", "number"]).select("asked", "data").mapInArrow(
+        run, "doc_id long, position long, token long")
+    missing = asked.join(named.select("key"), asked["doc_id"].eqNullSafe(named["key"]), "left_anti")
+    return found.unionByName(missing.withColumn("token", F.lit(None).cast("long")))
+
+
 def token_file(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Write the ids of all documents into the shared folder and read them back."""
     path = new_dir(docs.sparkSession, "tokens")

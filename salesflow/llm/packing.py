@@ -3,9 +3,10 @@
 Documents are cut at the largest permitted length; the pieces are dealt to shards of about `SHARD` pieces by a hash, equal
 rows, which are counted first, in heaps of `HEAP` copies from shard to shard, so no shard gets them all. Every shard is packed for itself, so the work is spread evenly and the waste of a shard is a bin or so. In a shard, pieces
 go from the longest to the shortest into the open bin they fit best. If none has room, a new bin of the least-cost size is
-opened. Which size that is depends on the other bins, so each permitted size is tried as the one to open (longer pieces
-take the smallest that holds them), every bin is finally downsized to the smallest size that holds its contents, and the
-plan with the least total cost wins. A bin costs its length plus `OVERHEAD`.
+opened: the size whose bin, filled with the longest of the pieces still to come, costs least per position. As that looks
+at one bin only, plans that open each permitted size throughout (longer pieces take the smallest that holds them) are
+made too. Every bin is finally downsized to the smallest size that holds its contents, and the plan with the least total
+cost wins. A bin costs its length plus `OVERHEAD`.
 
 Defined cases: a null or empty text, or one of white space, is one piece that holds only the end mark; equal pieces are
 ordered by doc_id (null first) and start; a null doc_id is packed like any other; repeated rows are packed once each; an
@@ -14,6 +15,8 @@ empty table gives an empty result; other columns are neither read nor returned.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,14 +37,48 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"))
 
 
-def pack_with(lengths: list[int], sizes: tuple[int, ...], opened: int) -> tuple[int, list[tuple[int, int]], list[int]]:
+class Waiting:
+    """The lengths still to come, as counts and a bit set of those that are left."""
+
+    def __init__(self, lengths: list[int]):
+        self.counts, self.bits = Counter(lengths), 0
+        for n in self.counts:
+            self.bits |= 1 << n
+
+    def take(self, n: int) -> None:
+        self.counts[n] -= 1
+        if not self.counts[n]:
+            self.bits ^= 1 << n
+
+    def least_cost(self, n: int, sizes: tuple[int, ...]) -> int:
+        """The size of a bin for a piece of length n that costs least per position when the longest fitting pieces follow."""
+        best = None
+        for size in sizes:
+            if size < n:
+                continue
+            room, used, bits = size - n, n, self.bits
+            while fitting := bits & ((2 << room) - 1):
+                longest = fitting.bit_length() - 1
+                some = min(self.counts[longest], room // longest)
+                room, used, bits = room - some * longest, used + some * longest, bits ^ 1 << longest
+            cost = (next(s for s in sizes if s >= used) + OVERHEAD) / used
+            if best is None or cost < best[0]:
+                best = cost, size
+        return best[1]
+
+
+def pack_with(lengths: list[int], sizes: tuple[int, ...], opened: int | None) -> tuple[int, list[tuple[int, int]], list[int]]:
     """Cost, the (bin, offset) of each length in falling order, and every bin's size after downsizing.
 
-    Bins are kept by their room; a bit set of the rooms in use gives the tightest one in a few steps.
+    Bins are opened with the size `opened`, or, if that is None, each with the size of least cost. They are kept by their
+    room; a bit set of the rooms in use gives the tightest one in a few steps.
     """
     by_room: dict[int, list[int]] = {}
-    rooms, held, size_of, place = 0, [], [], []
+    waiting = Waiting(lengths) if opened is None else None
+    rooms, held, place = 0, [], []
     for n in lengths:
+        if waiting:
+            waiting.take(n)
         above = rooms >> n
         if above:
             room = n + (above & -above).bit_length() - 1
@@ -51,10 +88,11 @@ def pack_with(lengths: list[int], sizes: tuple[int, ...], opened: int) -> tuple[
                 rooms ^= 1 << room
         else:
             which = len(held)
-            size = opened if n <= opened else next(s for s in sizes if s >= n)
+            if waiting:
+                room = waiting.least_cost(n, sizes)
+            else:
+                room = opened if n <= opened else next(s for s in sizes if s >= n)
             held.append(0)
-            size_of.append(size)
-            room = size
         place.append((which, held[which]))
         held[which] += n
         room -= n
@@ -69,7 +107,7 @@ def pack_with(lengths: list[int], sizes: tuple[int, ...], opened: int) -> tuple[
 
 def pack(lengths: list[int], sizes: tuple[int, ...] = SIZES) -> tuple[int, list[tuple[int, int]], list[int]]:
     """The cheapest of the plans; lengths come in falling order and none is larger than the largest size."""
-    return min((pack_with(lengths, sizes, s) for s in sizes), key=lambda plan: plan[0])
+    return min((pack_with(lengths, sizes, s) for s in (None, *sizes)), key=lambda plan: plan[0])
 
 
 OUT = "shard long, bin long, bin_size long, bin_offset long, doc_id long, piece long, start long, length long"

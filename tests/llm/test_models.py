@@ -56,6 +56,24 @@ def test_code_lengths_are_exact():
     assert trees.predict("12 - 3") == ("und", 0.0)
 
 
+def test_code_lengths_with_many_languages_and_bytes():
+    """Twenty languages of two hundred byte values: every context of three bytes is kept."""
+    rnd = random.Random(9)
+    alphabet = [chr(c) for c in (*range(33, 127), *range(0xA1, 0x180), *range(0x400, 0x460), *range(0x4E00, 0x4E60))]
+    corpora = {f"l{j:02d}": ["".join(rnd.choice(rnd.sample(alphabet, 40)) for _ in range(400)) for _ in range(5)] for j in range(20)}
+    lang, gram, count = [], [], []
+    for j, texts in enumerate(corpora.values()):
+        found, n = np.unique(np.concatenate([langid.grams(t) for t in texts]), return_counts=True)
+        lang, gram, count = [*lang, np.full(len(found), j)], [*gram, found], [*count, n]
+    trees = langid.freeze(list(corpora), *(np.concatenate(x) for x in (lang, gram, count)))
+    contexts = {g >> 8 for g in np.concatenate(gram).tolist()}
+    assert trees.kinds > 150 and len(contexts) > 20_000 and len(trees.parent) >= len(contexts)
+    for texts in list(corpora.values())[::4]:
+        for text in (texts[0][:60], texts[1][:30] + "zqé乌", "abc"):
+            want = [brute_bits(c, text, trees.kinds) for c in corpora.values()]
+            assert np.allclose(trees.code_lengths(text), want, atol=1e-2)
+
+
 def test_long_text_in_steps(monkeypatch):
     found, n = np.unique(langid.grams("abcabd" * 50), return_counts=True)
     trees = langid.freeze(["x"], np.zeros(len(found), int), found, n)
@@ -155,5 +173,5 @@ def test_copies_of_an_id_take_one_place_of_their_language(spark):
     once = langid.train(frame(spark, rows), F.lit(False), per_language=20)
     often = langid.train(frame(spark, rows + rows[:5] * 60), F.lit(False), per_language=20)
     assert once.languages == often.languages == ["de", "en"]
-    assert np.array_equal(once.bits, often.bits) and np.array_equal(once.node, often.node)
+    assert all(np.array_equal(getattr(once, x), getattr(often, x)) for x in ("bits", "node", "words", "parent", "escape"))
     assert langid.train(frame(spark, [rows[-1], (3, "w", "en", "s", 1)]), F.lit(False)).kinds == len(set("ein text" + "w")) + 1

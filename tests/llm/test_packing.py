@@ -39,7 +39,53 @@ def test_bit_set_finds_the_best_fit(seed):
             assert at == held[b]
             held[b] += n
         assert all(used <= size and (size == 16 or used > size // 2) for used, size in zip(held, final, strict=True))
-    assert packing.pack(lengths, sizes)[0] == min(packing.pack_with(lengths, sizes, s)[0] for s in sizes)
+    uniform = min(packing.pack_with(lengths, sizes, s)[0] for s in sizes)
+    cost, place, final = packing.pack(lengths, sizes)
+    assert cost == min(uniform, packing.pack_with(lengths, sizes, None)[0]) == sum(final) + packing.OVERHEAD * len(final)
+    held = [0] * len(final)
+    for n, (b, at) in zip(lengths, place, strict=True):
+        assert at == held[b]
+        held[b] += n
+    assert all(used <= size for used, size in zip(held, final, strict=True))
+
+
+def cheapest(lengths, sizes):
+    """The least cost of any packing, by trying every partition of the pieces."""
+    best = [float("inf")]
+
+    def go(i, bins):
+        if i == len(lengths):
+            best[0] = min(best[0], sum(min(s for s in sizes if s >= b) + packing.OVERHEAD for b in bins))
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= sizes[-1]:
+                go(i + 1, [*bins[:k], bins[k] + lengths[i], *bins[k + 1:]])
+        go(i + 1, [*bins, lengths[i]])
+
+    go(0, [])
+    return best[0]
+
+
+def test_mixed_sizes_beat_every_uniform_plan():
+    """Three pieces fill a large bin and two a small one; opening either size throughout wastes the other."""
+    sizes, lengths = (100, 128), sorted([64, 64] * 6 + [60, 40] * 6, reverse=True)
+    uniform = [packing.pack_with(lengths, sizes, s)[0] for s in sizes]
+    mixed = packing.pack_with(lengths, sizes, None)
+    assert packing.pack(lengths, sizes) == mixed and mixed[0] < min(uniform)
+    assert sorted(mixed[2]) == [100] * 6 + [128] * 6
+    assert mixed[0] == 6 * 100 + 6 * 128 + 12 * packing.OVERHEAD  # no position is left empty, so nothing is cheaper
+
+
+def test_small_cases_against_every_packing(monkeypatch):
+    monkeypatch.setattr(packing, "OVERHEAD", 2)
+    rnd, ratios = random.Random(4), []
+    for _ in range(150):
+        sizes = tuple(sorted(rnd.sample(range(8, 40), 3)))
+        lengths = sorted((rnd.randint(1, sizes[-1]) for _ in range(rnd.randint(1, 7))), reverse=True)
+        cost, least = packing.pack(lengths, sizes)[0], cheapest(lengths, sizes)
+        assert cost >= least
+        ratios.append(cost / least)
+    assert sum(r == 1 for r in ratios) > 90 and max(ratios) < 1.5
 
 
 def check(rows, want, sizes):

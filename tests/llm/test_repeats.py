@@ -85,18 +85,61 @@ def test_rows_of_one_key_in_parts(monkeypatch):
         assert all(r["twice"] == (twice[r["key"], r["content"]] > 1) for r in out if r["first"])
 
 
-@pytest.mark.parametrize("alphabet", ["ab", "a", "abc", "abcdefgh\x01\xff"])
+def made_bytes(rnd, alphabet):
+    n = rnd.randint(1, 400)
+    text = bytes(ord(rnd.choice(alphabet)) for _ in range(n))
+    if rnd.random() < 0.5:
+        text = (text[:rnd.randint(1, 20)] * 400)[:n]
+    if rnd.random() < 0.5:
+        text = (text * 3)[rnd.randint(0, n):][:700]
+    return text
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "a", "abc", "abcdefgh\x01\xff", "\x00a\x01"])
 def test_suffix_array(alphabet):
     rnd = random.Random(3)
-    for _ in range(40):
-        n = rnd.randint(1, 400)
-        text = bytes(ord(rnd.choice(alphabet)) for _ in range(n))
-        if rnd.random() < 0.5:
-            text = (text[:rnd.randint(1, 20)] * 400)[:n]
-        data = np.frombuffer(text, np.uint8)
-        order = suffixes.suffix_array(data, suffixes.string_names(data))
+    for _ in range(60):
+        text = made_bytes(rnd, alphabet)
+        data, n = np.frombuffer(text, np.uint8), len(text)
+        order = suffixes.suffix_array(data)
         assert sorted(order.tolist()) == list(range(n))
         assert [text[i:i + 216] for i in order] == sorted(text[i:i + 216] for i in range(n))
+        assert np.array_equal(suffixes.suffix_array(data, 10 * n), sorted(range(n), key=lambda i: text[i:]))
+
+
+@pytest.mark.parametrize("alphabet", ["ab", "a", "abc", "abcdefgh\x01\xff", "\x00a\x01"])
+def test_common_prefixes_of_neighbours(alphabet):
+    rnd = random.Random(4)
+    for least in (1, 7, 8, 40, 200):
+        for _ in range(25):
+            text = made_bytes(rnd, alphabet)
+            order = suffixes.suffix_array(np.frombuffer(text, np.uint8), least)
+            got = suffixes.common_prefixes(np.frombuffer(text, np.uint8), order, least)
+            for g, i, j in zip(got.tolist(), order[:-1].tolist(), order[1:].tolist(), strict=True):
+                a, b = text[i:], text[j:]
+                same = next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+                assert g == (same if same >= least else 0)
+
+
+def test_only_the_smaller_suffixes_are_sorted(monkeypatch):
+    """No sort of the first stage sees more places than there are suffixes smaller than their successors."""
+    rnd = random.Random(5)
+    text = np.frombuffer(bytes(rnd.choice(b"abcdefgh") for _ in range(20_000)) * 2, np.uint8)
+    chosen, seen, plain = int(suffixes.smaller_than_next(text).sum()), [], suffixes.sorted_chosen
+
+    def watched(*args):
+        for name in ("argsort", "lexsort"):
+            real = getattr(np, name)
+            monkeypatch.setattr(np, name, lambda x, *a, real=real, **k: seen.append(np.shape(x)[-1]) or real(x, *a, **k))
+        out = plain(*args)
+        seen.append(-1)
+        return out
+
+    monkeypatch.setattr(suffixes, "sorted_chosen", watched)
+    suffixes.suffix_array(text, 200)
+    first, second = seen[:seen.index(-1)], seen[seen.index(-1) + 1:]
+    assert max(first) == chosen < 0.6 * len(text)
+    assert sum(second) <= len(text)  # the scans group each other place once, by its first byte
 
 
 @pytest.mark.parametrize("k", [5, 16, 32, 60])

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from math import log2
 
 import pytest
 
@@ -43,22 +44,70 @@ def test_guess_costs(value, low, high):
     assert low <= secrets.guess_bits(value) <= high
 
 
-def brute_bits(value):
-    """Cheapest segmentation over single characters and listed words only, by trying all."""
-    if not value:
-        return 0.0
-    best = secrets.char_bits(value[0]) + brute_bits(value[1:])
-    for k in range(3, len(value) + 1):
-        if value[:k] in secrets.RANK:
-            best = min(best, secrets.log2(secrets.RANK[value[:k]]) + 1 + brute_bits(value[k:]))
-    return best
+def brute_bits(value, ranks):
+    """The cheapest of all segmentations, from the price of every piece by itself."""
+    low, n, pieces = value.lower(), len(value), {}
+
+    def put(i, j, bits):
+        pieces[i, j] = min(pieces.get((i, j), 1e9), bits)
+
+    for i in range(n):
+        put(i, i + 1, secrets.char_bits(value[i]))
+        for pattern, bits in ((secrets.DATE, log2(365 * 120)), (secrets.YEAR, log2(120))):
+            if m := pattern.match(value, i):
+                put(i, m.end(), bits + 1)
+        for j in range(i + 3, min(i + 24, n) + 1):
+            piece = low[i:j]
+            rank = ranks.get(piece, ranks.get(piece.translate(secrets.LEET)))
+            if rank:
+                put(i, j, log2(rank) + (value[i:j] != piece) + (piece not in ranks) + 1)
+        for step in (1, -1):
+            end = i + 1
+            while end < n and low[end - 1:end + 1][::step] in secrets.NEXT:
+                end += 1
+            for j in range(i + 3, end + 1):
+                put(i, j, log2(47) + log2(end - i) + 1)
+        for size in range(1, 5):
+            unit, times = value[i:i + size], 1
+            while len(unit) == size and value.startswith(unit, i + times * size):
+                times += 1
+            for k in range(2, times + 1):
+                if k * size >= 3:
+                    put(i, i + k * size, sum(map(secrets.char_bits, unit)) + log2(times) + 1)
+    best = [0.0] + [1e9] * n
+    for j in range(1, n + 1):
+        best[j] = min(best[i] + bits for (i, stop), bits in pieces.items() if stop == j)
+    return best[n]
+
+
+def test_the_cheapest_segmentation_is_found():
+    rnd, ranks = random.Random(3), secrets.RANK | {"haus": 40, "tree": 41, "abab": 50}
+    parts = ["a", "b", "ab", "qwe", "ewq", "1", "12", "2024", "-01", "-05", "key", "Haus", "#", "x", "tr33", "9", "*"]
+    for _ in range(3000):
+        value = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 9)))
+        assert secrets.guess_bits(value, ranks) == pytest.approx(brute_bits(value, ranks), abs=1e-9)
+
+
+@pytest.mark.parametrize(("value", "secret"), [
+    ("*" * 80, False), ("#" * 500, False), ("qwertyuiop" * 9, False), ("xkqxkq" * 40, False), ("zyxwvutsrqponmlkjihgfedcba", False),
+    ("xkqzjwvbnmtrplkjhgfdsazq", True), ("stormlanterngarden", False), ("STORMlanternGarden", False), ("stormxkqzjwvbnmtrp", True)])
+def test_long_runs_and_words(spark, value, secret):
+    docs = frame(spark, [(1, f"auth: {value}", "en", "s", 1)] + [(2 + i, "storm lantern garden Storm", "en", "s", 1) for i in range(5)])
+    row = secrets.secret_spans(docs).where("doc_id = 1").first()
+    assert row["n_guess"] == int(secret)
+    masked = secrets.redact_secrets(docs).where("doc_id = 1").first()["text"]
+    assert masked == ("[SECRET]" if secret else f"auth: {value}")
 
 
-def test_cheapest_segmentation_is_found():
-    rnd = random.Random(3)
-    for _ in range(200):
-        value = "".join(rnd.choice(["key", "pass", "#", "8", "%", "admin"]) for _ in range(rnd.randint(1, 4)))
-        assert secrets.guess_bits(value) <= brute_bits(value) + 1e-9
+def test_frequent_words(spark, odd, none, monkeypatch):
+    monkeypatch.setattr(secrets, "COUNTED", 3)
+    texts = ["Storm garden storm 12 storm2 x_lantern token = hiddenword", "garden zebra été ab", "admin " * 9, "q" * 25, None]
+    docs = frame(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]).repartition(3)
+    n = len(secrets.RANK)
+    assert secrets.frequent_words(docs, 6) == secrets.RANK | {"storm": n + 1, "garden": n + 2, "lantern": n + 3, "zebra": n + 4,
+                                                              "été": n + 5}
+    assert secrets.frequent_words(none) == secrets.RANK
+    assert len(secrets.frequent_words(odd)) > len(secrets.RANK)
 
 
 def test_added_spans_and_redaction(spark):
@@ -74,4 +123,6 @@ def test_added_spans_and_redaction(spark):
 
 
 def test_a_long_value_takes_linear_time():
-    assert secrets.guess_bits("aB3$" * 5000) > 100
+    rnd = random.Random(5)
+    assert secrets.guess_bits("".join(rnd.choice("aB3$xY9#") for _ in range(20_000))) > 10_000
+    assert secrets.guess_bits("aB3$" * 5000) < 40
