@@ -62,25 +62,34 @@ def cluster_centres(data: DataFrame, columns: list[str], k: int, restarts: int,
     """Cost and centres of the best of some starts of k-means.
 
     Every pass over the rows moves the centres of all starts at once, so the number of passes does not depend on the number
-    of starts; what comes to the driver is a row per start and cluster. A cluster that has lost its rows stays where it is.
+    of starts; a start whose centres stay takes no further part. What comes to the driver is a row per start and cluster. A
+    cluster that has lost its rows stays where it is.
     """
-    starts = _starts(data, columns, k, restarts, seed)
-    costs = [0.0] * restarts
+    spark = data.sparkSession
+    centres = dict(enumerate(_starts(data, columns, k, restarts, seed)))
+    costs, moving = {}, set(centres)
+    # the centres come as rows, so that every pass runs the same code
+    points = data.select(F.array(*columns).alias("point"), F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("start"))
     for _ in range(ITERATIONS + 1):
-        near = F.array(*[_nearest(centres, columns) for centres in starts])
-        summed = data.select(*columns, F.posexplode(near).alias("start", "near")).groupBy("start", "near.number").agg(
-            F.count("*").alias("n"), F.sum("near.distance").alias("cost"), *[F.sum(c).alias(f"sum_{i}") for i, c in enumerate(columns)])
-        moved, costs = 0.0, [0.0] * restarts
+        now = spark.createDataFrame([(s, centres[s]) for s in sorted(moving)], "start int, centres array<array<double>>")
+        gaps = F.transform("centres", lambda c, i: F.struct(F.aggregate(
+            F.zip_with("point", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x).alias("distance"), i.alias("number")))
+        near = points.join(now, "start").select("start", "point", F.array_min(gaps).alias("near"))
+        summed = near.groupBy("start", "near.number").agg(
+            F.count("*").alias("n"), F.sum("near.distance").alias("cost"), *[F.sum(F.col("point")[i]).alias(f"sum_{i}") for i in range(len(columns))])
+        moved = dict.fromkeys(moving, 0.0)
+        costs |= moved
         for r in summed.collect():  # at most restarts * k rows
-            costs[r["start"]] += r["cost"]
+            start, before = r["start"], centres[r["start"]][r["number"]]
+            costs[start] += r["cost"]
             centre = [r[f"sum_{i}"] / r["n"] for i in range(len(columns))]
-            before = starts[r["start"]][r["number"]]
-            moved = max(moved, sum((x - y) ** 2 for x, y in zip(centre, before, strict=True)))
-            starts[r["start"]][r["number"]] = centre
-        if moved <= TOLERANCE**2:
+            moved[start] = max(moved[start], sum((x - y) ** 2 for x, y in zip(centre, before, strict=True)))
+            centres[start][r["number"]] = centre
+        moving = {s for s, far in moved.items() if far > TOLERANCE**2}
+        if not moving:
             break
     best = min(range(restarts), key=costs.__getitem__)
-    return costs[best], starts[best]
+    return costs[best], centres[best]
 
 
 def segment_retailers(features: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42) -> DataFrame:

@@ -78,9 +78,10 @@ def test_full_trees_return_what_they_were_given(spark):
 
 def test_a_cut_is_the_best_one(spark):
     values = {0: (5, 10), 1: (1, 12), 2: (4, 30), 3: (2, 33), 4: (3, 90)}
-    rows = spark.createDataFrame([("x", 0, 1, a, 0, n, Decimal(n * v)) for a, (n, v) in values.items()],
-                                 "g string, tree int, node long, a int, b int, w long, s decimal(38,6)")
-    row = RF.best_cuts(rows, ["g", "tree", "node"], ["b", "a"]).first()
+    rows = spark.createDataFrame([("x", 0, 1, a, 0, n, n * v) for a, (n, v) in values.items()],
+                                 "g string, tree int, node long, a int, b int, w long, s long")
+    found = RF.with_cuts(rows, ["g", "tree", "node"], ["b", "a"]).collect()
+    row = found[0]
 
     def cost(part):
         n = sum(w for w, _ in part)
@@ -89,6 +90,7 @@ def test_a_cut_is_the_best_one(spark):
 
     best = min(range(4), key=lambda c: cost([values[a] for a in range(c + 1)]) + cost([values[a] for a in range(c + 1, 5)]))
     assert (row["cut"]["feature"], row["cut"]["value"]) == (1, best)
+    assert len(found) == 5 and {r["a"] for r in found if r["beyond"]} == set(range(best + 1, 5))
     assert row["mean"] == pytest.approx(sum(n * v for n, v in values.values()) / sum(n for n, _ in values.values()))
 
 
@@ -103,3 +105,11 @@ def test_another_seed_is_another_forest(spark):
     df = sales(spark, 1, 800)
     one, same, two = (FC.forecast_sales(df, ["id"], trees=4, seed=s).collect() for s in (1, 1, 2))
     assert one == same and one != two
+
+
+def test_huge_totals_keep_their_digits(spark):
+    rows = [("x", a, 0, s, 1000, Decimal(10) ** 15 * (a + 1)) for a in range(3) for s in range(30)]
+    asked = spark.createDataFrame([("x", a, 0) for a in range(3)], "g string, a int, b int")
+    df = spark.createDataFrame(rows, "g string, a int, b int, shard int, n long, total decimal(30,2)")
+    got = {r.a: r.predicted for r in RF.forest_predictions(df, asked, "g", ["a", "b"], "shard", "n", "total", trees=5).collect()}
+    assert got == {a: pytest.approx(1e12 * (a + 1), rel=1e-12) for a in range(3)}
