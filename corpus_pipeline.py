@@ -1,4 +1,9 @@
-"""From raw documents to packed sequences: poor documents go, copies go, secrets are masked, the rest is packed."""
+"""From raw documents to packed sequences: poor documents go, copies go, secrets are masked, the rest is packed.
+
+Each stage does with nulls, empty and long texts, repeated rows and empty tables what its operator says: a document without
+words is rejected by the first; of equal rows one stays after the second; a null doc_id goes through all of them; an empty
+table gives an empty result. Other columns than those of `documents` are carried along up to the last stage.
+"""
 
 from __future__ import annotations
 
