@@ -16,7 +16,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Large stars hang the larger neighbours of a node onto the smallest one, small stars the smaller ones, in turn until
     nothing changes; the number of rounds grows with the logarithm of the size. Every round is written to the shared
     folder. A node with many neighbours is split by adaptive execution in the joins and summed up in parts in the
-    aggregates. edges has columns a and b; loops and repeated edges are ignored.
+    aggregates. edges has columns a and b; loops and repeated edges are ignored, and so are edges with a null end. An empty
+    list gives no rows; other columns are not read.
     """
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(),
                  "edges")

@@ -5,7 +5,7 @@ exact winners of those few digests are broadcast: their copies are settled where
 other digests go through an ordinary shuffle, in which no group has more than that share of the rows.
 
 Defined cases: a null text is empty; of equal rows with equal ids one stays; a null doc_id is larger than any other and
-`keep_id` is null only if no row of the group has an id; an empty table gives an empty result; columns other than
+`keep_id` is null only if no row of the group has an id; of a text of any length only its digest is shuffled; an empty table gives an empty result; columns other than
 `doc_id` and `text` are neither read nor touched.
 """
 

@@ -13,7 +13,8 @@ Every context of these is kept, whatever the number of languages and bytes; the
 
 Defined cases: a text that is null or has no letter is `und` with score 0, and so is any text if no language was learned;
 equal code lengths go to the first language by name; rows with null lang or null doc_id are not learned from, and of
-those with equal lang and doc_id only the text with the smallest hash is; repeated rows come back once each; an empty table gives an empty result; other columns are not read.
+those with equal lang and doc_id only the text with the smallest hash is; a text of any length is scored whole; repeated
+rows come back once each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -8,8 +8,9 @@ are flat numpy arrays, so scoring is a few gathers for a whole batch.
 
 Defined cases: a null or empty text has no words and fails the base rules; without usable labels (none, or of one kind)
 the model accepts everything and the base rules decide alone; labels that are null or whose document is missing are left
-out; of repeated labels for one id the lowest counts, of its repeated rows the text with the smallest hash; other columns
-are neither read nor touched.
+out; of repeated labels for one id the lowest counts, of its repeated rows the text with the smallest hash; repeated
+documents are judged once each and alike; a text of any length is judged whole; an empty table gives an empty result; other
+columns are neither read nor touched.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ Nothing is gathered without bound: copies of a text count but go along once; a f
 at last by whole windows, of which equal ones are alike.
 
 Texts are known by a 128-bit hash of their bytes, fragments by two of 64 bits (key and content), so equal texts share
-their result. Defined cases: a null or empty text and any text shorter than `LENGTH` keep everything; a repeated row
+their result. These hashes are trusted: bytes are compared within a block only. Defined cases: a null or empty text and any text shorter than `LENGTH` keep everything; a repeated row
 is a copy, also with the same id; an empty table gives an empty result; other columns are neither read nor returned.
 """
 

@@ -5,12 +5,15 @@ most one bit of the first or of the second segment, or in none of the third: oth
 is entered in three tables, one per segment, looks up the balls of radius 1 (and 0 in the third) around its own segments,
 and the complete distance of each match is verified. Copies of a fingerprint are one entry.
 
-A bucket gives a forest, not all its pairs. Buckets with more than `HOT` entries, and those that look them up, take
-another exact way: every fingerprint in them is given to the keys of its ball of radius 2, and two fingerprints are within four
-bits if and only if they share such a key; this grows with the number of fingerprints, not with its square.
+A bucket gives a forest, not all its pairs. Buckets with more than `HOT` entries, and those that look them up, are cut
+again: the bits outside the segment make three segments of 14 or 15 bits, entered and looked up in the same way, with what
+the first look-up has left of the four bits. Buckets that have more than `CROWD` rows even then (thousands of fingerprints
+that agree in 35 bits) take a last exact way: every fingerprint in them is given to the keys of its ball of radius 2, and two
+fingerprints are within four bits if and only if they share such a key. All of this grows with the number of fingerprints,
+not with its square.
 
 Defined cases: a null or empty text, or one of white space, has fingerprint zero and is linked like any other; fewer
-words than a shingle are hashed as one; a null doc_id gets a fingerprint and the smallest id of its component (null if
+words than a shingle are hashed as one; a text of any length is hashed whole; a null doc_id gets a fingerprint and the smallest id of its component (null if
 there is none); repeated rows come back once each; an empty table gives an empty result; other columns are not read.
 """
 
@@ -30,7 +33,8 @@ from salesflow.llm.components import connected_components
 #: Shift and width of each segment, and the radius searched in it.
 SEGMENTS = ((0, 21, 1), (21, 21, 1), (42, 22, 0))
 DISTANCE = 4
-HOT = 4096
+#: Entries of a bucket, and rows of one that was cut again, from which on it takes the next way.
+HOT, CROWD = 4096, 100_000
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -139,19 +143,57 @@ def links(distinct: DataFrame) -> DataFrame:
     around = [F.col("bucket").bitwiseXOR(F.lit(1 << bit).cast("long")) for bit in range(SEGMENTS[0][1])]
     ball = F.when(F.shiftright("bucket", 32) < 2, F.array("bucket", *around)).otherwise(F.array("bucket"))
     hot = stored(sizes.where(F.col("count") > HOT).select(F.explode(ball).alias("bucket")).distinct(), "hot")
-    crowded = not hot.isEmpty()
-    cold = entries.join(hot, "bucket", "left_anti") if crowded else entries
-    found = cold.repartition("bucket").sortWithinPartitions("bucket", F.col("own").desc()).mapInArrow(
+    if hot.isEmpty():
+        return matched(entries)
+    found = matched(entries.join(hot, "bucket", "left_anti"))
+    deeper = stored(cut_again(entries.join(hot, "bucket")), "deeper")
+    crowded = stored(deeper.groupBy("bucket").count().where(F.col("count") > CROWD).select("bucket"), "crowded")
+    if crowded.isEmpty():
+        return found.unionAll(matched(deeper)).distinct()
+    found = found.unionAll(matched(deeper.join(crowded, "bucket", "left_anti")))
+    return found.unionAll(by_balls(deeper.join(crowded, "bucket").select("fp").distinct())).distinct()
+
+
+def matched(entries: DataFrame) -> DataFrame:
+    """Edges (a, b) within the buckets of (bucket, fp, own)."""
+    return entries.repartition("bucket").sortWithinPartitions("bucket", F.col("own").desc()).mapInArrow(
         match_buckets, "a long, b long").distinct()
-    if not crowded:
-        return found
+
+
+def cut_again(entries: DataFrame) -> DataFrame:
+    """Entries of crowded buckets in buckets of their own segment and one of three of the other bits.
+
+    Two entries of a table may differ in four of the other bits, so they look up radius 1 in two of the segments. One that
+    has looked the bucket up differs in a bit already: in three others at most, so radius 1 in one segment is enough.
+    """
+    rest = F.lit(None)
+    for k, (shift, width, _) in enumerate(SEGMENTS):
+        above = F.shiftleft(F.shiftrightunsigned("fp", shift + width), shift) if shift + width < 64 else F.lit(0).cast("long")
+        below = F.col("fp").bitwiseAND(F.lit((1 << shift) - 1).cast("long"))
+        rest = F.when(F.shiftright("bucket", 32) == k, above.bitwiseOR(below)).otherwise(rest)
+    widths, at, rows = (14, 14, 15), 0, []
+    for k, width in enumerate(widths):
+        part = F.shiftrightunsigned("rest", at).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        rows.append(F.struct(F.lit(k).alias("k"), part.alias("part"), F.col("own").alias("own")))
+        near = F.array(*[F.struct(F.lit(k).alias("k"), part.bitwiseXOR(F.lit(1 << bit).cast("long")).alias("part"), F.lit(False).alias("own"))
+                         for bit in range(width)])
+        if k < 2:
+            rows.append(near if k == 0 else F.when(F.col("own"), near).otherwise(F.slice(near, 1, 0)))
+        at += width
+    singles = F.array(*[r for i, r in enumerate(rows) if i in (0, 2, 4)])
+    all_rows = F.concat(singles, rows[1], rows[3])
+    split = entries.withColumn("rest", rest).select("bucket", "fp", F.explode(all_rows).alias("e"))
+    return split.select(F.xxhash64("bucket", "e.k", "e.part").alias("bucket"), "fp", "e.own")
+
+
+def by_balls(distinct: DataFrame) -> DataFrame:
+    """Edges that connect all fingerprints within DISTANCE bits, by the keys that their balls of half that radius share."""
     flips = [1 << i for i in range(64)]
     masks = [0, *flips, *(x | y for i, x in enumerate(flips) for y in flips[:i])]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = entries.join(hot, "bucket").select("fp").distinct().select(
-        "fp", F.explode(F.transform(F.lit(signed), lambda m: F.col("fp").bitwiseXOR(m))).alias("key"))
+    keys = distinct.select("fp", F.explode(F.transform(F.lit(signed), lambda m: F.col("fp").bitwiseXOR(m))).alias("key"))
     first = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z").select("key", "a")
-    return found.unionAll(keys.join(first, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct())
+    return keys.join(first, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, shingle: int = 4) -> DataFrame:

@@ -10,9 +10,8 @@ most between toxic and other ones by the chi-square of their document counts, an
 
 Defined cases: a null or empty text has no terms and the score of the intercept; rows with null labels or null ids
 are not learned from, and of repeated labels for one id the lowest counts, of its repeated rows the text with the smallest
-hash; without labels of both kinds the score is the
-smoothed rate of label 1; repeated rows come back once each; an empty table gives an empty result; other columns are not
-read.
+hash; without labels of both kinds the score is the smoothed rate of label 1; a text of any length counts with all its
+words; repeated rows come back once each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

@@ -99,10 +99,11 @@ def test_near_groups_of_the_small_table(spark, small):
     assert got == [(i, f, c) for (i, f), c in zip(fps, brute_components(fps), strict=True)]
 
 
-@pytest.mark.parametrize("hot", [4096, 2])
-def test_links_lose_nothing(spark, monkeypatch, hot):
-    """Clouds of fingerprints around a few centres, by the tables and by the way for crowded buckets."""
+@pytest.mark.parametrize(("hot", "crowd"), [(4096, 100_000), (2, 100_000), (2, 3), (20, 40)])
+def test_links_lose_nothing(spark, monkeypatch, hot, crowd):
+    """Clouds of fingerprints around a few centres, by the tables, by buckets cut again, and by balls."""
     monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     rnd = random.Random(5)
     found = set()
     for _ in range(6):

@@ -137,6 +137,57 @@ def test_toxicity_and_counterfactuals(spark, odd, none):
     assert 0 <= bare.score("") <= 1
 
 
+def plain_terms(text):
+    """Words with a mark and their first three to eight letters, from the definition."""
+    out = set()
+    for word in "".join(c if c.isalpha() else " " for c in (text or "").lower()).split():
+        out |= {word + "$"} | {word[:k] for k in range(3, 9) if len(word) >= k}
+    return out
+
+
+def test_toxicity_against_an_independent_version(spark):
+    """Choice of the terms, minimum of the loss and scores, each made anew from the definition."""
+    rows, labels = corpus(240, seed=8)
+    model = toxicity.fit_toxicity(frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), F.lit(False))
+    has, bad = [plain_terms(r[1]) for r in rows], np.array([x[2] for x in labels], float)
+    want, total = {t for name in toxicity.PLACE for t in plain_terms(name)}, len(rows)
+    for term in set().union(*has):
+        there = np.array([term in h for h in has])
+        table = np.array([[(there & (bad == y)).sum() for y in (1, 0)], [(~there & (bad == y)).sum() for y in (1, 0)]], float)
+        if table[0].sum() < 3 or not table[1].sum():
+            continue
+        expected = table.sum(axis=1, keepdims=True) * table.sum(axis=0) / total
+        if ((table - expected) ** 2 / expected).sum() >= 3.84:
+            want.add(term)
+    assert set(model.vocabulary) == want
+
+    names = sorted(want)
+    x = np.array([[t in h for t in names] for h in has], float)
+    gaps = []
+    for i, (key, text, *_) in enumerate(rows):
+        other = toxicity.counterfactual(toxicity.words_of(text), zlib.crc32(str(key).encode()))
+        if other is not None:
+            gaps.append(x[i] - np.array([t in plain_terms(" ".join(other)) for t in names]))
+    gaps = np.array(gaps)
+
+    def loss(w, b):
+        z = x @ w + b
+        return (np.logaddexp(0, z) - bad * z).sum() + toxicity.RIDGE / 2 * (w @ w) + toxicity.CHANGE * ((gaps @ w) ** 2).sum()
+
+    w, b = np.zeros(len(names)), 0.0
+    for _ in range(4000):  # plain descent with a step that halves until the loss falls
+        error = 1 / (1 + np.exp(-(x @ w + b))) - bad
+        down, down_b, step = x.T @ error + toxicity.RIDGE * w + 2 * toxicity.CHANGE * gaps.T @ (gaps @ w), error.sum(), 0.1
+        while loss(w - step * down, b - step * down_b) > loss(w, b) and step > 1e-9:
+            step /= 2
+        w, b = w - step * down, b - step * down_b
+    fitted = np.array([model.weight[model.vocabulary[t]] for t in names])
+    assert loss(fitted, model.start) <= loss(w, b) * 1.01
+    for text in ("an idiotic tree", "muslims and moronic Stones", "", "Idiot1c 12"):
+        z = model.start + sum(model.weight[model.vocabulary[t]] for t in plain_terms(text) if t in model.vocabulary)
+        assert abs(model.score(text) - 1 / (1 + np.exp(-z))) < 1e-9
+
+
 def test_swaps():
     assert toxicity.counterfactual({"a", "b"}, 3) is None
     for turn in range(10):
