@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.common import arrow_schema, id_and_text, rows_out, texts
+from salesflow.llm.common import arrow_schema, id_and_text, rows_out, stored, texts
 
 # The base patterns and the least lengths of what they find.
 ASSIGN = re.compile(
@@ -141,8 +141,9 @@ def frequent_words(docs: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
     """Ranks of the fixed words and, behind them, of the most frequent words of all texts, `size` at most.
 
     Words are runs of letters in lower case, outside the values of credential contexts: a secret is no word because it is in
-    the texts itself. They are counted in each task first; the driver sees the first `size` only.
-    Equally frequent words are ranked in the order of their letters.
+    the texts itself. They are counted in each task first. The driver sees how many words have which order of frequency
+    (4,096 at most), and then the words of the highest ones, as long as there are not more than `size`. Equally frequent
+    words are ranked in the order of their letters.
     """
     schema = arrow_schema("word string, n long")
 
@@ -158,8 +159,16 @@ def frequent_words(docs: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
                     counts.clear()
         yield rows_out(list(counts.items()), schema)
 
-    counted = id_and_text(docs).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    words = [r["word"] for r in counted.orderBy(F.desc("n"), "word").limit(size).collect()]
+    counted = stored(id_and_text(docs).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    order = F.floor(F.log2("n") * 64)
+    least, room = None, size
+    for r in sorted(counted.groupBy(order.alias("order")).count().collect(), key=lambda r: -r["order"]):
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["order"]
+    found = [] if least is None else counted.where(order >= least).collect()  # `size` words at most
+    words = [r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"]))]
     return RANK | {w: i for i, w in enumerate([w for w in words if w not in RANK], len(RANK) + 1)}
 
 

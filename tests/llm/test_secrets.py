@@ -106,7 +106,8 @@ def test_frequent_words(spark, odd, none, monkeypatch):
     n = len(secrets.RANK)
     assert secrets.frequent_words(docs, 6) == secrets.RANK | {"storm": n + 1, "garden": n + 2, "lantern": n + 3, "zebra": n + 4,
                                                               "été": n + 5}
-    assert secrets.frequent_words(none) == secrets.RANK
+    assert secrets.frequent_words(docs, 5) == secrets.RANK | {"storm": n + 1, "garden": n + 2}  # three words come once
+    assert secrets.frequent_words(docs, 0) == secrets.frequent_words(none) == secrets.RANK
     assert len(secrets.frequent_words(odd)) > len(secrets.RANK)
 
 
