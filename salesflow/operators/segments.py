@@ -68,13 +68,14 @@ def cluster_centres(data: DataFrame, columns: list[str], k: int, restarts: int,
     spark = data.sparkSession
     centres = dict(enumerate(_starts(data, columns, k, restarts, seed)))
     costs, moving = {}, set(centres)
-    # the centres come as rows, so that every pass runs the same code
+    # the centres come as rows, so that every pass runs the same code; they are at most `restarts` rows and go to the points,
+    # which stay where they are
     points = data.select(F.array(*columns).alias("point"), F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("start"))
+    gaps = [F.struct(sum(((F.col("point")[j] - F.col("centres")[i][j]) * (F.col("point")[j] - F.col("centres")[i][j])
+                          for j in range(len(columns))), F.lit(0.0)).alias("distance"), F.lit(i).alias("number")) for i in range(k)]
     for _ in range(ITERATIONS + 1):
         now = spark.createDataFrame([(s, centres[s]) for s in sorted(moving)], "start int, centres array<array<double>>")
-        gaps = F.transform("centres", lambda c, i: F.struct(F.aggregate(
-            F.zip_with("point", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x).alias("distance"), i.alias("number")))
-        near = points.join(now, "start").select("start", "point", F.array_min(gaps).alias("near"))
+        near = points.join(F.broadcast(now), "start").select("start", "point", F.array_min(F.array(*gaps)).alias("near"))
         summed = near.groupBy("start", "near.number").agg(
             F.count("*").alias("n"), F.sum("near.distance").alias("cost"), *[F.sum(F.col("point")[i]).alias(f"sum_{i}") for i in range(len(columns))])
         moved = dict.fromkeys(moving, 0.0)

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.operators import forecast as FC
@@ -152,3 +153,18 @@ def test_constant_feature_scales_to_zero(spark):
     df = features(spark, [("a", 1.0, 1)]).withColumn("marge_moy", F.lit(0.5))
     row = SEG.scaled_features(df).agg(F.max("marge_moy"), F.avg("ca_total"), F.stddev_pop("ca_total")).first()
     assert row[0] == 0.0 and abs(row[1]) < 1e-9 and abs(row[2] - 1) < 1e-9
+
+
+def test_points_stay_where_they_are(spark, monkeypatch):
+    """The passes of k-means bring the centres to the points, whatever the size of these."""
+    plans, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or collect(df))
+    data = spark.range(3000).select((F.col("id") % 3 * 10 + F.col("id") / 3000).alias("x"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        cost, centres = SEG.cluster_centres(data, ["x"], 3, 4, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    passes = [p for p in plans if "near" in p]
+    assert passes and not any("SortMergeJoin" in p or "ShuffledHashJoin" in p for p in passes)
+    assert [round(c[0], 1) for c in sorted(centres)] == [0.5, 10.5, 20.5]
