@@ -17,21 +17,21 @@ def quoted(name: str) -> Column:
 def to_number(value: Column, dtype: T.DataType = S.MONEY) -> Column:
     """Number from text or number; unreadable, oversize or NaN gives NULL."""
     number = value.try_cast(dtype)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(number), number)
-    return number
+    return without_nan(number, dtype) if isinstance(dtype, (T.DoubleType, T.FloatType)) else number
+
+
+def without_nan(value: Column, dtype: T.DataType) -> Column:
+    """NULL for NaN; the value stands in it once, so nested calls and pushed filters do not multiply its expression."""
+    return F.nanvl(value, F.lit(None).cast(dtype))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every floating-point column."""
-    floats = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    floats = {f.name: f.dataType for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     if not floats:
         return df
     return df.select(
-        *[
-            F.when(~F.isnan(quoted(c)), quoted(c)).alias(c) if c in floats else quoted(c)
-            for c in df.columns
-        ]
+        *[without_nan(quoted(c), floats[c]).alias(c) if c in floats else quoted(c) for c in df.columns]
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesflow.functions.parsing import nan_to_null, quoted
+from salesflow.functions.parsing import nan_to_null, quoted, without_nan
 from salesflow.functions.quantiles import exact_quantiles, histogram
 from salesflow.session import checkpointed
 
@@ -17,9 +17,9 @@ def drop_incomplete(df: DataFrame, columns: list[str]) -> DataFrame:
     """Rows in which every given column has a value; NaN is not one."""
     kept = df
     for c in columns:
-        kept = kept.where(quoted(c).isNotNull())
-        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
-            kept = kept.where(~F.isnan(quoted(c)))
+        dtype = df.schema[c].dataType
+        value = without_nan(quoted(c), dtype) if isinstance(dtype, (T.DoubleType, T.FloatType)) else quoted(c)
+        kept = kept.where(value.isNotNull())
     return kept
 
 

@@ -244,3 +244,13 @@ def test_quantiles_of_any_doubles_take_few_rounds(spark, monkeypatch, kind):
 def test_quantiles_without_values(spark, monkeypatch):
     df = spark.createDataFrame([(None,), (float("nan"),)], "v double")
     assert settled(df, "v", PROBS, monkeypatch)[0] is None
+
+
+def test_cleaning_does_not_multiply_expressions(spark):
+    """What cleans a text column stands in the plan a few times, as each filter asks for it, and not once more per layer."""
+    texts = spark.createDataFrame([("1.5",), ("NaN",), ("x",), ("-1",), (None,)], "v string")
+    rows = P.nan_to_null(N.cast_numbers(texts, ["v"], jobs.S.AMOUNT))
+    rows = C.dedupe(C.non_negative(C.drop_incomplete(rows, ["v"]), ["v"]))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast") <= 4
+    assert [r.v for r in rows.collect()] == [1.5]
