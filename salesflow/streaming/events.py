@@ -20,8 +20,8 @@ def to_events(df: DataFrame, batch_id: str, event_time: Column | None = None) ->
 
 
 def publish_files(events: DataFrame, path: str, files: int | None = None) -> None:
-    """Write events as text files, one JSON object per line; a stand-in for a topic."""
-    (events.repartition(files) if files else events).write.mode("overwrite").text(path)
+    """Write events as compressed text files, one JSON object per line; a stand-in for a topic."""
+    (events.repartition(files) if files else events).write.mode("overwrite").option("compression", "gzip").text(path)
 
 
 def publish_kafka(events: DataFrame, servers: str, topic: str) -> None:

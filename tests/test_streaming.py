@@ -345,3 +345,14 @@ def test_kept_views_equal_the_batch_views(spark, small, tmp_path, monkeypatch):
     assert same(KV.kept_global_kpis(gate.sums()), R.view_global_kpis(star.fact))
     assert gate.sums().agg(F.sum("n_rows")).first()[0] == star.fact.count()
     rows.unpersist()
+
+
+def test_published_files_are_compressed(spark, tmp_path):
+    """A topic takes less than its texts, and comes back whole."""
+    topic = str(tmp_path / "topic")
+    rows = spark.range(2000).select("id", F.concat(F.lit("retailer "), F.col("id") % 7).alias("retailer"))
+    texts = EV.to_events(rows, "b").persist()
+    EV.publish_files(texts, topic)
+    size = sum(os.path.getsize(os.path.join(topic, n)) for n in os.listdir(topic) if n.startswith("part-"))
+    assert 0 < size * 4 < texts.agg(F.sum(F.length("value"))).first()[0]
+    assert same(EV.decode(spark.read.text(topic), rows.schema).select(*rows.columns), rows)
