@@ -58,10 +58,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it again: its lineage is cut, and columns can be read by themselves."""
     path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -10,6 +10,7 @@ from salesflow.operators import kept as KV
 from salesflow.operators import quality as Q
 from salesflow.operators import reports as R
 from salesflow.plans import jobs
+from salesflow.plans.queries import _kept_sums
 from salesflow.sources import testtables as TT
 from salesflow.streaming import events as EV
 from salesflow.streaming.gate import BATCH, StreamGate, numbered
@@ -356,3 +357,10 @@ def test_published_files_are_compressed(spark, tmp_path):
     size = sum(os.path.getsize(os.path.join(topic, n)) for n in os.listdir(topic) if n.startswith("part-"))
     assert 0 < size * 4 < texts.agg(F.sum(F.length("value"))).first()[0]
     assert same(EV.decode(spark.read.text(topic), rows.schema).select(*rows.columns), rows)
+
+
+def test_kept_slices_read_stored_facts(spark, small):
+    """The feed is joined once; every slice of the sums starts from the stored facts."""
+    sums, star = _kept_sums(spark, small)
+    assert all("/facts-" in f for f in star.fact.inputFiles())
+    assert sums.agg(F.sum("n_rows")).first()[0] == star.fact.where(F.col("o_orderkey").isNotNull()).count()
