@@ -32,6 +32,8 @@ from salesflow.streaming.gate import StreamGate, numbered
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = TT.FEED_KEYS
 TIES = [*KEYS, "units_sold", "total_sales"]
+#: Events to a file of a topic.
+FILE_ROWS = 2_000_000
 QUERIES: dict[str, Query] = {}
 
 
@@ -415,9 +417,13 @@ def dq_dataset_score(spark, sf_dir):
 
 # ── streaming ────────────────────────────────────────────────────────────────
 def _in_parts(df, path, place, parts):
-    """Write a topic part by part, so that a file stream takes the parts in this order."""
+    """Write a topic part by part, so that a file stream takes the parts in this order.
+
+    A file is a micro-batch, so a part is as many files as its rows ask for, however many splits the table is read in.
+    """
     for k in range(parts):
-        df.where(place == k).write.mode("append").parquet(path)
+        part = df.where(place == k)
+        part.repartition(1 + part.count() // FILE_ROWS).write.mode("append").parquet(path)
 
 
 def _run_gate(spark, sf_dir):

@@ -10,7 +10,7 @@ from salesflow.operators import kept as KV
 from salesflow.operators import quality as Q
 from salesflow.operators import reports as R
 from salesflow.plans import jobs
-from salesflow.plans.queries import _kept_sums
+from salesflow.plans.queries import _in_parts, _kept_sums
 from salesflow.sources import testtables as TT
 from salesflow.streaming import events as EV
 from salesflow.streaming.gate import BATCH, StreamGate, numbered
@@ -364,3 +364,11 @@ def test_kept_slices_read_stored_facts(spark, small):
     sums, star = _kept_sums(spark, small)
     assert all("/facts-" in f for f in star.fact.inputFiles())
     assert sums.agg(F.sum("n_rows")).first()[0] == star.fact.where(F.col("o_orderkey").isNotNull()).count()
+
+
+def test_files_of_a_topic_follow_its_rows(spark, tmp_path):
+    """A part of many splits is one file as long as its rows fit one."""
+    folder = str(tmp_path / "topic")
+    _in_parts(spark.range(0, 1000, 1, 8), folder, F.col("id") % 2, 2)
+    assert len([n for n in os.listdir(folder) if n.startswith("part-")]) == 2
+    assert spark.read.parquet(folder).count() == 1000
