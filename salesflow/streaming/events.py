@@ -10,6 +10,8 @@ from salesflow.functions.parsing import quoted
 
 DAY = "_event_day"
 DIGEST = "_event_digest"
+#: Rows of a day that go to one file of a slice.
+FILE_ROWS = 500_000
 
 
 def to_events(df: DataFrame, batch_id: str, event_time: Column | None = None) -> DataFrame:
@@ -83,7 +85,7 @@ def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[s
     def store(rows: DataFrame, mb: int) -> None:
         fresh = rows.dropDuplicates(keys).withColumns({DAY: F.to_date(event_time), DIGEST: _digest(keys)}).persist()
         times = F.unix_micros(F.col(event_time).cast("timestamp"))
-        days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high")).collect()  # calendar days
+        days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high"), F.count("*").alias("n")).collect()  # calendar days
         met = [(r[DAY], k, there) for r in days for k, low, high, there in _digest_slices(spark, path, r[DAY])
                if k < mb and (low is None or (low <= r["high"] and r["low"] <= high))]
         if met:
@@ -97,14 +99,14 @@ def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[s
                 left.count()
                 fresh.unpersist()
                 fresh = left
-                days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high")).collect()
-        fresh.drop(DIGEST).write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
+                days = fresh.groupBy(DAY).agg(F.min(times).alias("low"), F.max(times).alias("high"), F.count("*").alias("n")).collect()
+        _by_day(fresh, DAY, days).drop(DIGEST).write.mode("overwrite").partitionBy(DAY).parquet(f"{path}/mb={mb}")
         if days:
             named = spark.createDataFrame([(r[DAY], _folder(r[DAY]), f"{mb}_{r['low']}_{r['high']}") for r in days],
                                           T.StructType([T.StructField(DAY, T.DateType()), T.StructField("day", T.StringType()),
                                                         T.StructField("v", T.StringType())]))
             kept = fresh.select(DAY, DIGEST).join(named, fresh[DAY].eqNullSafe(named[DAY])).select("day", "v", DIGEST)
-            kept.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            _by_day(kept, "day", days).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                 "day", "v").parquet(f"{path}/_digests")
         fresh.unpersist()
 
@@ -114,6 +116,12 @@ def run_deduplicated(stream: DataFrame, path: str, checkpoint: str, keys: list[s
     query.awaitTermination()
 
 
+def _by_day(rows: DataFrame, day: str, days: list) -> DataFrame:
+    """Rows dealt by day, and large days in pieces by digest, so that the files of a slice follow its size."""
+    pieces = 1 + max((r["n"] for r in days), default=0) // FILE_ROWS
+    return rows.repartition(day, F.pmod(DIGEST, F.lit(pieces)))
+
+
 def _digest(keys: list[str]) -> Column:
     return F.xxhash64(*[quoted(k) for k in keys])
 

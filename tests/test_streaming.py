@@ -372,3 +372,15 @@ def test_files_of_a_topic_follow_its_rows(spark, tmp_path):
     _in_parts(spark.range(0, 1000, 1, 8), folder, F.col("id") % 2, 2)
     assert len([n for n in os.listdir(folder) if n.startswith("part-")]) == 2
     assert spark.read.parquet(folder).count() == 1000
+
+
+def test_files_of_deduplicated_slices_follow_their_rows(spark, tmp_path):
+    """Few events are few files, however many partitions a shuffle has; large days are cut."""
+    topic, table = str(tmp_path / "topic"), str(tmp_path / "table")
+    rows = spark.range(0, 4000, 1, 8).select(F.col("id").alias("seq"), F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 2 * 86400).alias("event_time"))
+    rows.coalesce(1).write.parquet(topic)
+    files = lambda: [n for d, _, names in os.walk(table) for n in names if n.startswith("part-")]
+    stream = EV.stream_table(spark, topic, "*.parquet", rows.schema)
+    EV.run_deduplicated(stream, table, str(tmp_path / "checkpoint"), ["seq"])
+    assert same(EV.read_deduplicated(spark, table, rows.schema), rows)
+    assert len(files()) == 4  # rows and digests of two days
